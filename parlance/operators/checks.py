@@ -33,7 +33,7 @@ def validate_media(df: DataFrame, messages: str = "messages", content: str = "co
         listed = F.coalesce(F.size(F.coalesce(F.col(column), F.array().cast("array<string>"))), F.lit(0)) \
             if column in df.columns else F.lit(0)
         total = F.aggregate(
-            messages, F.lit(0), lambda n, m, tag=tag: n + F.coalesce(count_of(m[content], tag), F.lit(0))
+            messages, F.lit(0), lambda n, m: n + F.coalesce(count_of(m[content], tag), F.lit(0))
         )
         rules.append(total == listed)
     return df.withColumn("media_ok", rules[0] & rules[1] & rules[2])

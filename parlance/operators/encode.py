@@ -197,15 +197,15 @@ def encode_prompt_only(df: DataFrame, cutoff: int, prompt: str = "prompt_ids", a
 def label_by_prefix(df: DataFrame, prompt: str = "prompt_ids", full: str = "full_ids",
                     weight: str = "loss_weight") -> DataFrame:
     """Tokens after the prompt carry the message weight; ``prefix_error`` flags an unstable prompt."""
-    n, m = F.size(full), F.size(prompt)
-    head = F.slice(full, F.lit(1), m) == F.col(prompt)
-    w = F.coalesce(F.col(weight), F.lit(1.0)).cast("double")
-    position = F.transform(full, lambda t, i: F.when((i >= m) & (w > 1e-6), t).otherwise(F.lit(IGNORE_LABEL)))
+    head = F.slice(full, F.lit(1), F.size(prompt)) == F.col(prompt)
+    bound = F.struct(F.size(prompt).alias("m"), F.coalesce(F.col(weight), F.lit(1.0)).cast("double").alias("w"))
+    labels = let(bound, lambda v: F.transform(
+        full, lambda t, i: F.when((i >= v["m"]) & (v["w"] > 1e-6), t).otherwise(F.lit(IGNORE_LABEL))
+    ))
+    weights = let(bound, lambda v: F.transform(full, lambda t, i: F.when(i >= v["m"], v["w"]).otherwise(F.lit(0.0))))
     return df.select(
-        "*", F.col(full).alias("input_ids"), F.array_repeat(F.lit(1), n).alias("attention_mask"),
-        position.alias("labels"),
-        F.transform(full, lambda t, i: F.when(i >= m, w).otherwise(F.lit(0.0))).alias("loss_weights"),
-        (~head).alias("prefix_error"),
+        "*", F.col(full).alias("input_ids"), F.array_repeat(F.lit(1), F.size(full)).alias("attention_mask"),
+        labels.alias("labels"), weights.alias("loss_weights"), (~head).alias("prefix_error"),
     )
 
 

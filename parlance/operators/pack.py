@@ -115,7 +115,7 @@ def assemble_packs(df: DataFrame, capacity: int, neat: bool = False, batch: str
         "attention_mask": F.concat(F.flatten(mask), F.array_repeat(F.lit(0 if neat else 1), F.col("_pad"))),
     }
     for m in media:
-        listed = F.flatten(F.transform("_s", lambda s, m=m: s[m]))
+        listed = F.flatten(F.transform("_s", lambda s: s[m]))
         out[m] = F.when(F.size(listed) > 0, listed)
     if neat:
         ends = F.aggregate(
@@ -125,7 +125,7 @@ def assemble_packs(df: DataFrame, capacity: int, neat: bool = False, batch: str
         out["sequence_boundaries"] = F.concat(ends, F.array(F.lit(capacity + 1)))
         out["right_padding_length"] = F.col("_pad")
         for m in media:
-            owners = F.flatten(F.transform("_s", lambda s, m=m: F.array_repeat(s["slot"].cast("long"), F.size(s[m]))))
+            owners = F.flatten(F.transform("_s", lambda s: F.array_repeat(s["slot"].cast("long"), F.size(s[m]))))
             out[f"{m[:-1]}_subseq_ids"] = F.when(F.size(owners) > 0, owners).otherwise(
                 F.array(F.lit(MAX_SUB_SEQUENCE).cast("long"))
             )
@@ -205,10 +205,10 @@ def concat_batches(df: DataFrame, cutoff: int, batch: str = "batch_id", order: s
     for name, blank in (("labels", F.lit(IGNORE_LABEL)), ("loss_weights", F.lit(0.0))):
         if name in cut:
             cut[name] = F.transform(
-                cut[name], lambda x, k, blank=blank: F.when((F.col("_i") > 0) & (k == 0), blank).otherwise(x)
+                cut[name], lambda x, k: F.when((F.col("_i") > 0) & (k == 0), blank).otherwise(x)
             )
     part = F.struct("_i", *[c.alias(n) for n, c in cut.items()])
     packed = rows.groupBy(batch).agg(F.array_sort(F.collect_list(part)).alias("_s"))
-    out = [F.flatten(F.transform("_s", lambda s, n=n: s[n])).alias(n) for n in cut]
+    out = [F.flatten(F.transform("_s", lambda s: s[n])).alias(n) for n in cut]
     places = F.flatten(F.transform("_s", lambda s: F.sequence(F.lit(0), F.size(s["input_ids"]) - 1)))
     return packed.select(batch, *out, places.alias("position_ids"))

@@ -249,29 +249,28 @@ def thoughts(df: DataFrame, mode: str = "history", enable_thinking: bool = False
     ``mode``: ``all``, ``history`` (the last answer keeps its thought) or ``none``. The empty thought lands in
     ``trail`` of the prompt turn (no loss) or in ``lead`` of the answer (``enable_thinking``).
     """
-    n = F.size(messages)
     answer = lambda i: i % 2 == 1
     strip = {
-        "all": lambda i: answer(i),
-        "history": lambda i: answer(i) & (i < n - 2),
-        "none": lambda i: F.lit(False),
+        "all": lambda i, n: answer(i),
+        "history": lambda i, n: answer(i) & (i < n - 2),
+        "none": lambda i, n: F.lit(False),
     }[mode]
     blank = F.lit(words[0] + words[1])
-    cleaned = F.transform(
-        messages,
+    cleaned = let(F.col(messages), lambda ms: F.transform(
+        ms,
         lambda m, i: F.struct(
             m["role"].alias("role"),
-            F.when(strip(i), strip_thought(m["content"], words)).otherwise(m["content"]).alias("content"),
+            F.when(strip(i, F.size(ms)), strip_thought(m["content"], words)).otherwise(m["content"]).alias("content"),
         ),
-    )
-    df = df.withColumn("_c", cleaned)
+    ))
 
     def bare(m: Column) -> Column:
         return ~m["content"].contains(words[0].strip()) & ~m["content"].contains(words[1].strip())
 
-    def place(m: Column, i: Column) -> Column:
+    def place(ms: Column, m: Column, i: Column) -> Column:
+        n = F.size(ms)
         own = answer(i) & bare(m)
-        nxt = F.get(F.col("_c"), i + 1)
+        nxt = F.get(ms, i + 1)
         before = ~answer(i) & (i + 1 < n) & F.coalesce(bare(nxt), F.lit(False))
         if mode == "history":
             own, before = own & (i == n - 1), before & (i == n - 2)
@@ -281,7 +280,7 @@ def thoughts(df: DataFrame, mode: str = "history", enable_thinking: bool = False
             F.when(before & F.lit(not enable_thinking), blank).otherwise(F.lit("")).alias("trail"),
         )
 
-    return df.withColumn(messages, F.transform("_c", place)).drop("_c")
+    return df.withColumn(messages, let(cleaned, lambda ms: F.transform(ms, lambda m, i: place(ms, m, i))))
 
 
 def neutralise(df: DataFrame, tokens: Sequence[str], column: str = "text") -> DataFrame:

@@ -107,7 +107,7 @@ def metrics_by_slice(df: DataFrame, scalars: Sequence[str] = ("difficulty", "lan
     parts = [
         F.array(F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value"))) for c in scalars
     ] + [
-        F.transform(c, lambda v, c=c: F.struct(F.lit(c).alias("facet"), v.cast("string").alias("value"))) for c in lists
+        F.transform(c, lambda v: F.struct(F.lit(c).alias("facet"), v.cast("string").alias("value"))) for c in lists
     ]
     if overlap:
         parts.append(F.transform(overlap_slices(), lambda v: F.struct(F.lit("overlap").alias("facet"), v.alias("value"))))

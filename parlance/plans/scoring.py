@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions.hashing import draw
 from parlance.functions.text import let
+from parlance.functions.udfs import batch_udf
 from parlance.plans.openjson import leaf_udf, schema_udf
 from parlance.plans.rules import DEFAULT_RULES, PlanRules
 
@@ -286,7 +287,7 @@ def score_strict(df: DataFrame, contract: DataFrame, expected: str = "expected",
     )
 
 
-@F.pandas_udf("array<int>")
+@batch_udf("array<int>")
 def align_slots(slots: pd.Series, calls: pd.Series, matches: pd.Series, blocked: pd.Series) -> pd.Series:
     """Per expected slot the index of its call, -1 for none; null when no alignment exists.
 
@@ -516,7 +517,7 @@ def project_cases(df: DataFrame, rules: PlanRules = DEFAULT_RULES) -> DataFrame:
         )).otherwise(named("action"))
         arguments = F.when(t["tool"] == "HumanAction", F.to_json(moved))
         for tool, (_, new) in rules.selectors.items():
-            swapped = F.map_concat(F.map_filter(params, lambda k, v, new=new: k != new), named(new))
+            swapped = F.map_concat(F.map_filter(params, lambda k, v: k != new), named(new))
             arguments = arguments.when((t["tool"] == tool) & t["action"].isNotNull(), F.to_json(swapped))
         arguments = arguments.otherwise(F.to_json(params))
         return F.struct(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions.text import windows, words
+from parlance.functions.udfs import batch_udf
 from parlance.model import IGNORE_LABEL
 
 
@@ -21,7 +22,7 @@ def bleu_counts(df: DataFrame, key: str, predict: str = "predict", label: str =
 
     def side(column: str, mark: int) -> Column:
         return F.flatten(F.array(*[
-            F.transform(windows(F.col(column), n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(mark).alias("m")))
+            F.transform(windows(F.col(column), n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(mark).alias("m")))
             for n in range(1, n_max + 1)
         ]))
 
@@ -53,7 +54,7 @@ def bleu4(df: DataFrame, key: str, predict: str = "predict", label: str = "label
     return lengths.join(wide, key, "left").select(key, F.round(score * 100, 4).alias("bleu_4"))
 
 
-@F.pandas_udf("int")
+@batch_udf("int")
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Longest common subsequence of two word arrays, one machine word of bits per 64 words."""
 
