@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # The characters and number words that define the normal forms.
 EDGE_MARKS = "。.!！？?，,、；;：: \t\n"
-SHAPE_MARKS = r"[\s，。！？、,.!?;；:：~～…\"'“”‘’（）()]+"
+SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SHAPE_MARKS = "，。！？、,.!?;；:：~～…\"'“”‘’（）()"
 SHAPE_NUMBERS = r"[0-9零一二两三四五六七八九十百]+"
 OPENER_MARKS = r"^[\s，,。.!！?？~～…、]+"
 CLAUSE_SPLIT = r"[，。！？；,.!?;、\n:：]+|然后|接着|再|and then|then|also"
@@ -20,7 +21,8 @@ def norm_text(col: Column) -> Column:
 
 
 def shape(col: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(col, SHAPE_MARKS, ""), SHAPE_NUMBERS, "#")
+    """Spaces and marks removed, each run of number signs replaced by one mark."""
+    return F.regexp_replace(F.translate(col, SPACES + SHAPE_MARKS, ""), SHAPE_NUMBERS, "#")
 
 
 def windows(col: Column, n: int) -> Column:

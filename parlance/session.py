@@ -23,14 +23,16 @@ def local_session(cpus: str = "*", partitions: int = 8, memory: str = "20g") ->
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``; a local one only on a local master."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named in ``spark.checkpoint.dir``; a local one only on a local master."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
+    current = context._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder: lineage is cut there")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()

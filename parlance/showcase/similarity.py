@@ -74,10 +74,10 @@ def shapes_and_grams(spark, sf):
   z AS (SELECT line_id, len(g) AS n FROM g), x AS (SELECT line_id, lang, unnest(g) AS w FROM g),
   j AS (SELECT a.line_id AS a, b.line_id AS b, count(*) AS i FROM x a JOIN x b ON a.lang = b.lang AND a.w = b.w AND b.line_id < a.line_id GROUP BY ALL),
   m AS (SELECT a AS line_id, max(i / (za.n + zb.n - i)::DOUBLE) AS best FROM j JOIN z za ON za.line_id = a JOIN z zb ON zb.line_id = b GROUP BY 1)
-  SELECT l.line_id, CASE WHEN best >= 0.5 THEN round(best, 6) ELSE 0 END AS max_sim FROM l LEFT JOIN m USING (line_id)""")
+  SELECT l.line_id, CASE WHEN best >= 0.6 THEN round(best, 6) ELSE 0 END AS max_sim FROM l LEFT JOIN m USING (line_id)""")
 def similarity_to_earlier(spark, sf):
     """Every line of every document against all earlier lines of its language."""
-    return S.max_sim_prior(A.lines(spark, sf), "line_id", "line", 0.5, ["lang"], n=GRAM).select("line_id", F.round("max_sim", 6).alias("max_sim"))
+    return S.max_sim_prior(A.lines(spark, sf), "line_id", "line", 0.6, ["lang"], n=GRAM).select("line_id", F.round("max_sim", 6).alias("max_sim"))
 
 
 TO_POOL = f"""WITH {LINES}, {CASES}, a AS (SELECT case_id, {grams_sql('h', GRAM)} AS g FROM (SELECT case_id, {shape_sql('line')} AS h FROM c)),
