@@ -104,7 +104,7 @@ def composition_counts(spark, sf):
 
 
 @query("""WITH x AS (SELECT source AS flip, quality, CASE WHEN toxic = 1 THEN 'toxic' ELSE lang END AS reason FROM documents JOIN labels USING (doc_id)),
-  c AS (SELECT flip, reason, count(*) AS n, row_number() OVER (PARTITION BY flip ORDER BY count(*) DESC, reason) AS r FROM x WHERE quality = 0 GROUP BY ALL)
+  n AS (SELECT flip, reason, count(*) AS n FROM x WHERE quality = 0 GROUP BY flip, reason), c AS (SELECT *, row_number() OVER (PARTITION BY flip ORDER BY n DESC, reason) AS r FROM n)
   SELECT flip, count(*) AS asked, count(*) FILTER (quality = 1) AS valid, coalesce(any_value(t.top), '') AS top_rejects
   FROM x LEFT JOIN (SELECT flip AS f, string_agg(reason || ':' || n, ', ' ORDER BY r) AS top FROM c WHERE r <= 3 GROUP BY flip) t ON t.f = x.flip GROUP BY flip""")
 def reject_reasons(spark, sf):
