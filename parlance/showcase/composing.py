@@ -116,8 +116,8 @@ def quote_order(spark, sf):
 
 
 @query(f"""WITH {QUOTES}, i AS (SELECT conv_id, conv_id % 2 = 1 AND len(m) > 1 AS moved, lower(array_to_string(list_transform(m, lambda t: t.content), ' ')) AS whole, unnest(m) AS t, generate_subscripts(m, 1) AS k FROM x),
-  q AS (SELECT conv_id, substr(t.content, 1, 12) AS label, CASE WHEN moved THEN strpos(whole, lower(trim(substr(t.content, 1, 12)))) ELSE 0 END AS at, CASE WHEN moved THEN -k ELSE k END AS k FROM i)
-  SELECT conv_id, string_agg(label, '|' ORDER BY at, k) AS labels FROM q GROUP BY 1""")
+  q AS (SELECT conv_id, substr(t.content, 1, 12) AS label, CASE WHEN moved THEN strpos(whole, lower(trim(substr(t.content, 1, 12)))) ELSE 0 END AS spot, CASE WHEN moved THEN -k ELSE k END AS k FROM i)
+  SELECT conv_id, string_agg(label, '|' ORDER BY spot, k) AS labels FROM q GROUP BY 1""")
 def reordered_labels(spark, sf):
     return Q.reorder_by_quote(_merged(spark, sf)).select("conv_id", F.array_join("labels", "|").alias("labels"))
 

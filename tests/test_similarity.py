@@ -1,0 +1,98 @@
+import random
+import re
+
+from parlance.operators import similarity as S
+from parlance.functions.ranks import ceil_rank, ceil_rank_plus_one, pick_ranks, rank_by_int
+from parlance.operators import sampling
+import math
+import pytest
+
+
+def texts(n=120):
+    rng = random.Random(4)
+    words = ["walk", "left", "right", "three", "steps", "please", "now", "turn", "and", "wave", "bow", "12", "7"]
+    out = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(n)]
+    return [(i, "ab"[i % 2], t) for i, t in enumerate(out)] + [(n, "a", ""), (n + 1, "a", "!"), (n + 2, "b", out[1])]
+
+
+def grams(t, n=2):
+    s = re.sub(r"[0-9]+", "#", re.sub(r"[\s,.!?;:]+", "", t))
+    return {s[i : i + n] for i in range(len(s) - n + 1)} or {s}
+
+
+def jac(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("floor", [0.3, 0.6])
+def test_max_sim_prior_equals_brute_force(spark, floor):
+    rows = texts()
+    got = {r["k"]: r["max_sim"] for r in S.max_sim_prior(spark.createDataFrame(rows, "k long, g string, t string"), "k", "t", floor, ["g"]).collect()}
+    for k, g, t in rows:
+        best = max((jac(grams(t), grams(u)) for j, h, u in rows if h == g and j < k), default=0.0)
+        assert got[k] == pytest.approx(best if best >= floor else 0.0), (k, t)
+
+
+def test_greedy_novelty_equals_brute_force(spark):
+    rows = texts()
+    got = {(r["g"], r["tau"]): r["novel"] for r in S.greedy_novel(spark.createDataFrame(rows, "k long, g string, t string"), "k", "t", ["g"]).collect()}
+    for g in "ab":
+        for tau in S.TAUS:
+            kept = []
+            for _, h, t in rows:
+                if h == g and all(jac(grams(t), x) < tau for x in kept):
+                    kept.append(grams(t))
+            assert got[(g, tau)] == len(kept)
+
+
+def test_pool_similarity_and_clauses(spark):
+    rows = texts()
+    a = spark.createDataFrame(rows[:40], "k long, g string, t string")
+    b = spark.createDataFrame(rows[40:], "k long, g string, t string")
+    got = {r["k"]: r["max_sim"] for r in S.max_sim_to(a, b, "k", "t", 0.5, "k", "t").collect()}
+    for k, _, t in rows[:40]:
+        best = max(jac(grams(t), grams(u)) for _, _, u in rows[40:])
+        assert got[k] == pytest.approx(best if best >= 0.5 else 0.0)
+    q = spark.createDataFrame([(1, "walk left, turn right"), (2, "zzzz qqqq")], "k long, t string")
+    r = spark.createDataFrame([(1, "walk left. bow"), (2, "turn right now")], "k long, t string")
+    out = {x["k"]: (x["min_nn"], x["clauses"]) for x in S.clause_nn(q, r, "k", "t", "k", "t", 0.5).collect()}
+    assert out[1][1] == 2 and 0.5 < out[1][0] < 1 and out[2][0] == 0
+
+
+def test_empty_sets_and_conflicts(spark):
+    from pyspark.sql import functions as F
+
+    row = spark.range(1).select(S.jaccard(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("j")).collect()[0]
+    assert row["j"] == 1.0
+    df = spark.createDataFrame([(0, "Hi there!", "a"), (1, "Hithere", "b"), (2, "bye", "a")], "k long, t string, l string")
+    assert [r["labels"] for r in S.label_conflicts(df, "t", "l").collect()] == [["a", "b"]]
+    first = {r["k"]: r["copies"] for r in S.dedup_first(df, "t", "k").collect()}
+    assert first == {0: 1, 2: 0}
+
+
+def test_rank_picks(spark):
+    rng = random.Random(1)
+    rows = [("ab"[i % 2], rng.random() * 50) for i in range(301)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for rule, model in ((ceil_rank_plus_one, lambda p, n: math.ceil(p * (n + 1)) - 1), (ceil_rank, lambda p, n: math.ceil(p * n) - 1)):
+        got = {r["g"]: r for r in pick_ranks(df, ["g"], "v", {"a": 0.5, "b": 0.95, "c": 1.0}, rule).collect()}
+        for g in "ab":
+            values = sorted(v for h, v in rows if h == g)
+            for name, p in (("a", 0.5), ("b", 0.95), ("c", 1.0)):
+                assert got[g][name] == values[max(0, min(len(values) - 1, model(p, len(values))))]
+
+
+def test_ordinals_cross_chunk_borders(spark):
+    keys = [-5, 0, 3, 65535, 65536, 1 << 21, (1 << 36) + 1, (1 << 40)]
+    df = spark.createDataFrame([(k,) for k in reversed(keys)], "k long")
+    assert [r["k"] for r in rank_by_int(df, "k").orderBy("ordinal").collect()] == keys
+
+
+def test_sampling_does_not_depend_on_partitioning(spark):
+    one, many = spark.range(500).coalesce(1), spark.range(500).repartition(8)
+    for make in (lambda d: sampling.sample_n(d, 700, "id", 3), lambda d: sampling.shard(d, 7, "id", 3),
+                 lambda d: sampling.reweight(d, "id", 100, 2.0, 3), lambda d: sampling.mix([d.where("id < 50"), d.where("id >= 50")], "interleave_over", [0.5, 0.5], 1, "id")):
+        assert sorted(map(tuple, make(one).collect())) == sorted(map(tuple, make(many).collect()))
+    with pytest.raises(ValueError):
+        sampling.split(one, 0.1, "id", eval_sets={"x": one})
+    assert sampling.mix([one.where("id < 50"), one.where("id >= 50")], "interleave_once", [0.5, 0.5], 1, "id").count() == 500
