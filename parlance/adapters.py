@@ -11,8 +11,17 @@ from parlance.operators.dialogues import collect_dialogues
 ROLE_TAGS = {"user": "human", "assistant": "gpt", "system": "system"}
 
 
+TEXT_TABLES = ("documents", "conversations", "benchmark")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. A text table of fewer splits than cores (one small file) is spread, so that per-row text work
+    uses all cores; a table of many splits is read as it is."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def dialogues(spark, sf) -> DataFrame:
