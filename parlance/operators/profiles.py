@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parlance.functions.ranks import floor_rank, join_null_safe, pick_ranks, rank_by_int
-from parlance.functions.text import norm_text, opener, shape, windows
+from parlance.functions.text import let, norm_text, opener, shape, windows
 from parlance.model import IGNORE_LABEL
 
 
@@ -229,26 +229,56 @@ def tokens_per_second(df: DataFrame, epochs: float, runtime: float, ranks: int =
     )
 
 
+EMA_CHUNK = 4096
+
+
 def ema(df: DataFrame, by: str, order: str, value: str, out: str = "smoothed") -> DataFrame:
     """Smoothed series per run: the weight of the past grows with the series length.
 
-    A run is one logged curve; its points are collected because each value needs the one before.
+    The recurrence is linear, so a run is cut into chunks of consecutive points: each chunk is folded from zero, the
+    value carried into it comes from the chunk ends, and its share w^(i+1) is added. No task sees a whole run.
+    ``order`` is an integer step.
     """
-    points = df.groupBy(by).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))).alias("_p")
+    ranked = rank_by_int(df.select(by, order, F.col(value).cast("double").alias(value)), order, [by], out="_o")
+    ranked = ranked.withColumn("_c", F.floor(F.col("_o") / EMA_CHUNK).cast("int"))
+    lengths = ranked.groupBy(by).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("_o", value))[value].alias("_v0")
+    )
+    weight = F.lit(1.8) * (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-0.05) * F.col("_n"))) - F.lit(0.5))
+    lengths = lengths.withColumn("_w", weight).drop("_n")
+    points = ranked.groupBy(by, "_c").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_o"), F.col(order).alias("o"), F.col(value).alias("v")))).alias("_p")
     )
-    weight = F.lit(1.8) * (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-0.05) * F.size("_p"))) - F.lit(0.5))
-    points = points.withColumn("_w", weight)
-    start = F.struct(F.get("_p", F.lit(0))["v"].alias("last"), F.array().cast("array<double>").alias("done"))
-    smooth = F.aggregate(
-        "_p", start,
-        lambda s, p: F.struct(
-            (s["last"] * F.col("_w") + (F.lit(1.0) - F.col("_w")) * p["v"]).alias("last"),
-            F.concat(s["done"], F.array(s["last"] * F.col("_w") + (F.lit(1.0) - F.col("_w")) * p["v"])).alias("done"),
+    points = join_null_safe(points, lengths, [by])
+    start = F.struct(F.lit(0.0).alias("last"), F.array().cast("array<double>").alias("done"))
+
+    def fold(w: Column) -> Column:
+        return F.aggregate(
+            "_p", start,
+            lambda s, p: let(s["last"] * w + (F.lit(1.0) - w) * p["v"], lambda x: F.struct(
+                x.alias("last"), F.array_append(s["done"], x).alias("done")
+            )),
+            lambda s: s["done"],
+        )
+
+    points = points.withColumn("_s", fold(F.col("_w")))
+    ends = points.select(by, "_w", "_v0", F.struct(
+        F.col("_c").alias("c"), F.size("_p").alias("n"), F.element_at("_s", -1).alias("e")
+    ).alias("_e"))
+    ends = ends.groupBy(by).agg(F.array_sort(F.collect_list("_e")).alias("_e"), F.first("_w").alias("_w"), F.first("_v0").alias("_v0"))
+    carry_type = "array<struct<c:int,carry:double>>"
+    carried = F.aggregate(
+        "_e", F.struct(F.col("_v0").alias("x"), F.array().cast(carry_type).alias("all")),
+        lambda s, e: F.struct(
+            (e["e"] + F.pow(F.col("_w"), e["n"]) * s["x"]).alias("x"),
+            F.array_append(s["all"], F.struct(e["c"].alias("c"), s["x"].alias("carry"))).alias("all"),
         ),
-        lambda s: s["done"],
+        lambda s: s["all"],
     )
-    zipped = F.arrays_zip(F.col("_p").alias("p"), smooth.alias("s"))
-    return points.select(by, F.explode(zipped).alias("_z")).select(
-        by, F.col("_z.p.o").alias(order), F.col("_z.p.v").alias(value), F.col("_z.s").alias(out)
+    carries = ends.select(by, F.explode(carried).alias("_k")).select(by, F.col("_k.c").alias("_c"), F.col("_k.carry").alias("_carry"))
+    rows = join_null_safe(points, carries, [by, "_c"])
+    rows = rows.select(by, "_w", "_carry", F.posexplode(F.arrays_zip(F.col("_p").alias("p"), F.col("_s").alias("s"))).alias("_i", "_z"))
+    return rows.select(
+        by, F.col("_z.p.o").alias(order), F.col("_z.p.v").alias(value),
+        (F.col("_z.s") + F.pow(F.col("_w"), F.col("_i") + 1) * F.col("_carry")).alias(out),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions.hashing import draw, draw_int, draw_uniform
 from parlance.functions.ranks import join_null_safe
+from parlance.functions.ranks import rank_by_int
 from parlance.functions.text import json_string, norm_text
 from parlance.operators.sampling import shuffled
 from parlance.plans.openjson import mask_tools, rename_arguments
@@ -64,10 +65,11 @@ def compose_cases(atoms: DataFrame, level: int, n: int, seed=0, neg_rate: float
     first = cases.groupBy(F.col("_s.ids").alias("ids")).agg(
         F.min(F.struct("case_no", F.col("_s.topics").alias("topics"), F.col("_s.flips").alias("flips"))).alias("_f")
     )
-    return first.select(
+    distinct = first.select(
         F.col("_f.case_no").alias("case_no"), F.lit(level).alias("level"), "ids", F.col("_f.topics").alias("topics"),
         F.col("_f.flips").alias("flips"),
-    ).orderBy("case_no").limit(n)
+    )
+    return rank_by_int(distinct, "case_no", out="_o").where(F.col("_o") < n).drop("_o")
 
 
 def level_count(level_one: int, share: float, other_levels: int) -> int:

@@ -112,6 +112,12 @@ def test_ema_and_cap(spark):
         want.append(last)
     got = [r["smoothed"] for r in profiles.ema(df, "run", "i", "v").orderBy("i").collect()]
     assert got == pytest.approx(want)
+    old, profiles.EMA_CHUNK = profiles.EMA_CHUNK, 3  # chunk borders inside the series
+    try:
+        cut = [r["smoothed"] for r in profiles.ema(df, "run", "i", "v").orderBy("i").collect()]
+    finally:
+        profiles.EMA_CHUNK = old
+    assert cut == pytest.approx(want)
     texts = spark.createDataFrame([(i, "ab" if i % 2 else f"{chr(97 + i % 26)}z") for i in range(40)], "k long, t string")
     kept = {r["k"]: r["kept"] for r in profiles.cap_openers(texts, "k", "t", "k", 0.3, 5).collect()}
     held, total = {}, 0
