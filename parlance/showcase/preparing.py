@@ -207,11 +207,9 @@ def kto_balance(spark, sf):
     return checks.kto_balance(align.align(docs, DatasetSpec(query=None, kto_tag="tag")))
 
 
-@query("""SELECT conv_id FROM (SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS r FROM conversations GROUP BY conv_id)
-  WHERE r = 'system,user,assistant'""")
+@query("""SELECT conv_id, string_agg(role, ',' ORDER BY turn) = 'system,user,assistant' AS shape_ok FROM conversations GROUP BY conv_id""")
 def role_shape(spark, sf):
-    rows = A.dialogues(spark, sf)
-    return rows.where(checks.role_shape_ok(("system", "user", "assistant"))).select("conv_id")
+    return A.dialogues(spark, sf).select("conv_id", checks.role_shape_ok(("system", "user", "assistant")).alias("shape_ok"))
 
 
 @query("""WITH t AS (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS n FROM documents)

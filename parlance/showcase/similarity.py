@@ -137,7 +137,7 @@ def overlap_flags(spark, sf):
 @query(f"""WITH {LINES}, {CASES}, k AS (SELECT DISTINCT line FROM l) SELECT count(*) AS total, count(*) - count(DISTINCT case_id) AS duplicate_case_ids,
   count(*) - count(DISTINCT line) AS duplicate_queries, count(*) FILTER (line IN (SELECT line FROM k)) AS exact_query_overlap,
   count(*) FILTER (line IN (SELECT line FROM k)) AS exact_expected_plan_overlap, count(*) FILTER (line IN (SELECT line FROM k)) AS exact_tool_plan_overlap,
-  count(*) AS strict_pass_count, false AS ready FROM c""")
+  count(*) AS strict_pass_count, count(*) > 0 AND count(*) = count(DISTINCT case_id) AND count(*) = count(DISTINCT line) AND count(*) FILTER (line IN (SELECT line FROM k)) = 0 AS ready FROM c""")
 def challenge_audit(spark, sf):
     cases = A.benchmark_lines(spark, sf).select("case_id", F.col("line").alias("query"), F.md5(F.col("line").cast("binary")).alias("plan"),
                                                 F.sha1(F.col("line").cast("binary")).alias("tool_plan"), F.lit(True).alias("strict_pass"))
