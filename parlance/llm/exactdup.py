@@ -59,7 +59,8 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", bit
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha"
     )
     same = saved(marked.where("maybe").groupBy("sha", "id").agg(F.count(F.lit(1)).alias("copies")), "suspects")
-    groups = same.groupBy("sha").agg(F.min("id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    # written, so that the join below has two plain inputs and a group of many rows can be split
+    groups = saved(same.groupBy("sha").agg(F.min("id").alias("keep_id"), F.sum("copies").alias("group_size")), "groups")
     met = same.join(groups, "sha").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
         "id", "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("_i") == 1)).alias("kept"), "sha"
     )

@@ -159,7 +159,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("least"))
     moved = rooted.join(lowest, "root").where("NOT (least <=> low)").select("fp", "least")
-    named = classes.join(moved, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id"))
+    # written, so that the join below has two plain inputs and a fingerprint of many rows can be split
+    named = saved(
+        classes.join(moved, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id")), "named"
+    )
     return prints.join(named, "fp").select(
         F.col(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
     )
