@@ -1,6 +1,6 @@
 """Exact duplicates in two passes over a Bloom filter, in DataFrame operations only.
 
-Pass one sets ``hashes`` cells of a filter of 2^bits cells per text and counts its hits; the cells hit at least twice are
+Pass one sets two cells of a filter of 2^bits cells per text and counts its hits; the cells hit at least twice are
 the filter of possibly repeated texts. It has a fixed size however large the input is (2^bits / 64 words of 16 bytes, at
 the default 4 MB), which is what allows its broadcast. Pass two sends only rows all of whose cells are in the filter
 through a shuffle; the rest pass straight through. A filter that is too small lets more rows through, never a wrong
@@ -12,35 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parlance.llm.bloom import BITS, in_filter, repeated_cells
 from parlance.llm.tables import saved
 
-BITS = 24
-
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def repeated_cells(rows: DataFrame, cells: Column) -> DataFrame:
-    """(word, mask): the cells of the filter that at least two rows hit, 64 in a word."""
-    hit = rows.select(F.explode(cells).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    one = F.expr("shiftleft(1L, cast(cell & 63 AS INT))")
-    return hit.groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(one).alias("mask"))
-
-
-def in_filter(rows: DataFrame, cells: list[Column], words: DataFrame) -> DataFrame:
-    """``rows`` with ``maybe``: whether all cells are set. The words are bounded, so they are sent to every executor."""
-    out = rows.withColumn("maybe", F.lit(True))
-    for i, cell in enumerate(cells):
-        names = [f"_w{i}", f"_m{i}"]
-        out = out.withColumn("_cell", cell).join(
-            F.broadcast(words.toDF(*names)), F.shiftright("_cell", 6) == F.col(names[0]), "left"
-        )
-        set_ = F.expr(f"(shiftright(_m{i}, cast(_cell & 63 AS INT)) & 1) = 1")
-        out = out.withColumn("maybe", F.col("maybe") & F.coalesce(set_, F.lit(False))).drop("_cell", *names)
-    return out
-
-
 def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
     """One row per row of ``df``: key, keep_id, group_size, kept, text_sha256 of the normalised text.
 
@@ -53,7 +32,7 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", bit
         F.conv(F.hex(F.substring("sha", 1 + 8 * i, 7)), 16, 10).cast("long").bitwiseAND(F.lit((1 << bits) - 1))
         for i in range(2)
     ]
-    words = saved(repeated_cells(rows, F.array_distinct(F.array(*cells))), "filter")
+    words = saved(repeated_cells(rows, cells), "filter")
     marked = in_filter(rows, cells, words)
     alone = marked.where("NOT maybe").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha"
