@@ -162,19 +162,22 @@ def _fill(chosen: DataFrame, last: bool) -> DataFrame:
     words = (F.col("whole") + F.col("extra")) * F.col("size")
     lacking = chosen.groupBy("source").agg((F.max("target") - F.sum(words)).alias("gap"))
     met = join_null_safe(chosen, lacking, ["source"])
-    fits = (F.col("part") > 0) & (F.col("extra") == 0) & (F.col("size") <= F.col("gap") * (2 if last else 1))
+    fits = F.coalesce(
+        (F.col("part") > 0) & (F.col("extra") == 0) & (F.col("size") <= F.col("gap") * (2 if last else 1)), F.lit(False)
+    )
     upto = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bins = met.where(fits).groupBy("source", "bin").agg(F.sum("size").alias("words")).withColumn(
         "before", F.coalesce(F.sum("words").over(upto), F.lit(0))
     )
-    placed = join_null_safe(met, bins, ["source", "bin"], "left")
-    sure = fits & (F.col("before") + F.col("words") <= F.col("gap"))
-    edge = F.coalesce(fits & ~sure & (F.col("before") < F.col("gap")), F.lit(False))
-    settled = placed.where(~edge).withColumn("extra", F.when(sure, F.lit(1).cast("long")).otherwise(F.col("extra")))
+    placed = join_null_safe(met.where(fits), bins, ["source", "bin"])
+    sure = F.col("before") + F.col("words") <= F.col("gap")
+    edge = ~sure & (F.col("before") < F.col("gap"))
+    settled = placed.where(~edge).withColumn("extra", sure.cast("long"))
     run = W.partitionBy("source", "bin").orderBy("order", "id", "size").rowsBetween(W.unboundedPreceding, 0)
     over = F.col("before") + F.sum("size").over(run) - (F.col("size") / 2 if last else 0)
     cut = placed.where(edge).withColumn("_over", over).withColumn("extra", (F.col("_over") <= F.col("gap")).cast("long"))
-    return settled.select(*chosen.columns).unionByName(cut.select(*chosen.columns))
+    names = chosen.columns
+    return met.where(~fits).select(*names).unionByName(settled.select(*names)).unionByName(cut.select(*names))
 
 
 def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
