@@ -21,6 +21,8 @@ from parlance.llm.runs import Sets, whole_runs
 from parlance.llm.tables import in_blocks, saved
 
 BLOCK = 1024
+FEW = 32
+PAIRS = 100_000
 
 
 def usable(vector: Column) -> Column:
@@ -73,6 +75,17 @@ def hashed(classes: DataFrame, tables: int, projections: int, width: float, seed
     )
 
 
+def _pairs(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All (i, j) with i < j in the same of the short runs."""
+    found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for apart in range(1, int((stops - starts).max(initial=1))):
+        size = np.maximum(stops - starts - apart, 0)
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        left = np.repeat(starts, size) + inside
+        found.append((left, left + apart))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, tables: int = 24,
                  projections: int = 16, width: float = 2.0, seed: int = 7) -> DataFrame:
     """One row per row of ``df``: key, n_links, component_id, kept (key = component_id).
@@ -104,7 +117,31 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
             sizes = np.diff(vectors.offsets.to_numpy())
             links = np.zeros(len(cid), dtype=np.int64)
             sets = Sets(len(cid))
-            for start, stop in zip(starts.tolist(), np.append(starts[1:], len(cid)).tolist()):
+
+            def count_pairs(i: np.ndarray, j: np.ndarray) -> None:
+                earlier = np.zeros(len(i), dtype=bool)  # a pair counts in the first table in which it meets
+                for t in range(tables):
+                    earlier |= (t < table[i]) & (keys[i, t] == keys[j, t])
+                i, j = i[~earlier], j[~earlier]
+                np.add.at(links, i, count[j])
+                np.add.at(links, j, count[i])
+                sets.join(i, j)
+
+            stops = np.append(starts[1:], len(cid))
+            few = (stops - starts <= FEW) & same[starts]
+            i, j = _pairs(starts[few], stops[few])
+            alike = sizes[i] == sizes[j]
+            i, j = i[alike], j[alike]
+            for dim in np.unique(sizes[i]).tolist():
+                units = np.zeros((len(cid), dim))
+                own = np.flatnonzero(sizes == dim)
+                units[own] = unit(vectors.take(pa.array(own)), dim)
+                chosen = np.flatnonzero(sizes[i] == dim)
+                for at in range(0, len(chosen), PAIRS):
+                    part = chosen[at:at + PAIRS]
+                    near = np.einsum("ij,ij->i", units[i[part]], units[j[part]]) >= threshold
+                    count_pairs(i[part][near], j[part][near])
+            for start, stop in zip(starts[~few].tolist(), stops[~few].tolist()):
                 for dim in np.unique(sizes[start:stop]).tolist():
                     own = start + np.flatnonzero(sizes[start:stop] == dim)
                     left = own if same[start] else own[mine[own]]
@@ -113,14 +150,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
                     if same[start]:
                         near = np.triu(near, 1)
                     i, j = np.nonzero(near)
-                    i, j = left[i], right[j]
-                    earlier = np.zeros(len(i), dtype=bool)  # counted in the first table in which the pair meets
-                    for t in range(int(table[start])):
-                        earlier |= keys[i, t] == keys[j, t]
-                    i, j = i[~earlier], j[~earlier]
-                    np.add.at(links, i, count[j])
-                    np.add.at(links, j, count[i])
-                    sets.join(i, j)
+                    count_pairs(left[i], right[j])
             hit = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cid[hit]), pa.array(links[hit]), pa.array(cid[sets.roots()[hit]])], names=["cid", "links", "root"]

@@ -237,7 +237,8 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
                 names=["id", "type", "refers_to", "payload_bytes", "payload_digest"],
             )
 
-    near = captures.repartition("file").sortWithinPartitions("file", "start")
+    tasks = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # rows are small, their records are not
+    near = captures.repartition(tasks, "file").sortWithinPartitions("file", "start")
     return near.select("id", "file", "start", "length").mapInArrow(
         run, "id string, type string, refers_to string, payload_bytes long, payload_digest string"
     )
