@@ -183,5 +183,5 @@ def _fill(chosen: DataFrame, last: bool) -> DataFrame:
 def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of ``df`` as often as the mix takes them. Rows of equal key are taken alike, by the first of them."""
     taken = copies(df, key, text, source, **options).groupBy(key).agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    joined = join_null_safe(df, taken, [key])
+    joined = join_null_safe(df, taken.hint("merge"), [key])  # one row per document on either side at any size
     return joined.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*df.columns)
