@@ -10,7 +10,7 @@ EDGE_MARKS = "。.!！？?，,、；;：: \t\n"
 SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 SHAPE_MARKS = "，。！？、,.!?;；:：~～…\"'“”‘’（）()"
 SHAPE_NUMBERS = r"[0-9零一二两三四五六七八九十百]+"
-OPENER_MARKS = r"^[\s，,。.!！?？~～…、]+"
+OPENER_MARKS = r"(?U)^[\s，,。.!！?？~～…、]+"
 CLAUSE_SPLIT = r"[，。！？；,.!?;、\n:：]+|然后|接着|再|and then|then|also"
 NON_WORD = r"[^\p{L}\p{N}]+"
 
@@ -61,7 +61,7 @@ def clauses(col: Column) -> Column:
 
 def words(col: Column) -> Column:
     """Whitespace words, empty ones left out."""
-    return F.filter(F.split(col, r"\s+"), lambda w: w != "")
+    return F.filter(F.split(col, r"(?U)\s+"), lambda w: w != "")
 
 
 def count_of(col: Column, needle: str) -> Column:

@@ -67,16 +67,23 @@ def only_one(names: Column) -> Column:
     return F.when(F.size(names) == 1, F.get(names, F.lit(0)))
 
 
+#: Fixed value: the numerals in order; a numeral's place is its value.
+NUMERALS = "零一二三四五六七八九"
+
+
 def chinese_number(col: Column) -> Column:
-    """Digits or Chinese numerals up to 999 as an integer; null when unreadable."""
-    digits = F.translate(col, "零一二两三四五六七八九", "01223456789")
-    part = lambda p: F.nullif(F.regexp_extract(digits, p, 1), F.lit("")).cast("int")
-    hundreds = F.coalesce(part(r"(\d)百"), F.lit(0))
-    tens = F.when(digits.contains("十"), F.coalesce(part(r"(\d)十"), F.lit(1))).otherwise(F.lit(0))
-    ones = F.coalesce(part(r"(\d)$"), F.lit(0))
-    return F.when(digits.rlike(r"^\d+$"), digits.try_cast("int")).when(
-        digits.rlike(r"^(\d百)?0?(\d?十)?\d?$") & (digits != ""), hundreds * 100 + tens * 10 + ones
-    )
+    """Digits, one numeral (两 is 2), or a form with one 十; null for anything else, 百 among it.
+
+    Numerals that follow each other in counting order read as the first of them (一二 gives 1), others give null.
+    """
+    place = lambda c: F.instr(F.lit(NUMERALS), c) - 1
+    head = F.substring_index(col, "十", 1)
+    tail = F.substr(col, F.length(head) + 2)
+    tens = F.when(head == "", F.lit(1)).otherwise(place(head))
+    ones = F.when(tail == "", F.lit(0)).otherwise(place(tail))
+    return F.when(col.rlike(r"^\d+$"), col.try_cast("int")).when(col == "两", F.lit(2)).when(
+        (col != "") & (place(col) >= 0), place(col)
+    ).when(col.contains("十") & ~col.contains("百") & (tens >= 1) & (ones >= 0), tens * 10 + ones)
 
 
 def turn_degree(text: Column) -> Column:

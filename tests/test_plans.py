@@ -165,3 +165,33 @@ def test_consensus_merges_replies(spark):
     rows = [([("reply", None), ("reply", None), walks], [[("reply", None), ("HumanAction", '{"action":"walk","x":1,"step":2}')]]),
             ([walks], [[("HumanAction", '{"action":"walk","x":-1,"step":2}')]]), ([walks], [[("reply", None), walks]])]
     assert [r["disputed"] for r in screening.consensus(spark.createDataFrame(rows, s)).collect()] == [False, True, True]
+
+
+def test_numerals_and_unicode_spaces(spark):
+    from pyspark.sql import functions as F
+
+    from parlance.functions.text import words
+    from parlance.plans.labels import chinese_number
+
+    cases = {"12": 12, "三": 3, "两": 2, "十": 10, "十二": 12, "三十": 30, "三十五": 35, "三五": None, "一二": 1, "一百二十": None, "": None,
+             "两十": None, "零十": None}
+    frame = spark.createDataFrame([(k,) for k in cases], "t string").select("t", chinese_number(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in frame.collect()} == cases
+    got = spark.createDataFrame([("a b　c d",)], "t string").select(words(F.col("t"))).first()[0]
+    assert got == ["a", "b", "c", "d"]
+
+
+def test_masking_rebuilds_the_schema():
+    import json
+
+    from parlance.plans.openjson import _fresh, _grown, _leaves, _masked_schema
+
+    schema = {"type": "object", "properties": {"a": {"type": "string", "description": "a of b"}, "b": {"items": [{"properties": {"a": {}}}]}},
+              "required": ["a", "b"], "x": [], "enum": ["a"]}
+    assert _grown(_leaves(schema)) == schema and _grown(_leaves([])) == [] and _grown(_leaves([1, [2, {"k": None}]])) == [1, [2, {"k": None}]]
+    got = _masked_schema(_leaves(schema), {"a": "p", "b": "q"})
+    assert json.dumps(got) == json.dumps({
+        "type": "object", "properties": {"p": {"type": "string", "description": "p of q"}, "q": {"items": [{"properties": {"p": {}}}]}},
+        "required": ["p", "q"], "x": [], "enum": ["a"]})
+    taken: set = set()
+    assert len({_fresh("s", "n", taken) for _ in range(5)}) == 5
