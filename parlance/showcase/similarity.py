@@ -74,10 +74,10 @@ def shapes_and_grams(spark, sf):
   z AS (SELECT line_id, len(g) AS n FROM g), x AS (SELECT line_id, lang, unnest(g) AS w FROM g),
   j AS (SELECT a.line_id AS a, b.line_id AS b, count(*) AS i FROM x a JOIN x b ON a.lang = b.lang AND a.w = b.w AND b.line_id < a.line_id GROUP BY ALL),
   m AS (SELECT a AS line_id, max(i / (za.n + zb.n - i)::DOUBLE) AS best FROM j JOIN z za ON za.line_id = a JOIN z zb ON zb.line_id = b GROUP BY 1)
-  SELECT l.line_id, CASE WHEN best >= 0.6 THEN round(best, 6) ELSE 0 END AS max_sim FROM l LEFT JOIN m USING (line_id)""")
+  SELECT l.line_id, coalesce(round(best, 6), 0) AS max_sim FROM l LEFT JOIN m USING (line_id)""")
 def similarity_to_earlier(spark, sf):
     """Every line of every document against all earlier lines of its language."""
-    return S.max_sim_prior(A.lines(spark, sf), "line_id", "line", 0.6, ["lang"], n=GRAM).select("line_id", F.round("max_sim", 6).alias("max_sim"))
+    return S.max_sim_prior(A.lines(spark, sf), "line_id", "line", ["lang"], n=GRAM).select("line_id", F.round("max_sim", 6).alias("max_sim"))
 
 
 TO_POOL = f"""WITH {LINES}, {CASES}, a AS (SELECT case_id, {grams_sql('h', GRAM)} AS g FROM (SELECT case_id, {shape_sql('line')} AS h FROM c)),
@@ -87,16 +87,16 @@ TO_POOL = f"""WITH {LINES}, {CASES}, a AS (SELECT case_id, {grams_sql('h', GRAM)
   m AS (SELECT case_id, max(i / (na + nb - i)::DOUBLE) AS best FROM j GROUP BY 1)"""
 
 
-@query(f"""{TO_POOL} SELECT c.case_id, CASE WHEN best >= 0.6 THEN round(best, 6) ELSE 0 END AS max_sim, coalesce(best > 0.6, false) AS near FROM c LEFT JOIN m USING (case_id)""")
+@query(f"""{TO_POOL} SELECT c.case_id, coalesce(best > 0.6, false) AS near FROM c LEFT JOIN m USING (case_id)""")
 def contamination(spark, sf):
     """Benchmark lines too close to a line of the training pool."""
     rows = S.reject_near(A.benchmark_lines(spark, sf), A.lines(spark, sf), "case_id", "line", "line_id", "line", 0.6, GRAM)
-    return rows.select("case_id", F.round("max_sim", 6).alias("max_sim"), "near")
+    return rows.select("case_id", "near")
 
 
-@query(f"""{TO_POOL} SELECT c.case_id, CASE WHEN best >= 0.4 THEN round(best, 6) ELSE 0 END AS max_sim FROM c LEFT JOIN m USING (case_id)""")
+@query(f"""{TO_POOL} SELECT c.case_id, coalesce(round(best, 6), 0) AS max_sim FROM c LEFT JOIN m USING (case_id)""")
 def similarity_to_pool(spark, sf):
-    rows = S.max_sim_to(A.benchmark_lines(spark, sf), A.lines(spark, sf), "case_id", "line", 0.4, "line_id", "line", n=GRAM)
+    rows = S.max_sim_to(A.benchmark_lines(spark, sf), A.lines(spark, sf), "case_id", "line", "line_id", "line", n=GRAM)
     return rows.select("case_id", F.round("max_sim", 6).alias("max_sim"))
 
 
@@ -109,7 +109,7 @@ def greedy_novelty(spark, sf):
 @query()
 def clause_neighbours(spark, sf):
     """Each benchmark item's clauses against all clauses of the documents."""
-    rows = S.clause_nn(A.table(spark, sf, "benchmark"), A.table(spark, sf, "documents"), "item_id", "text", "doc_id", "text", 0.8)
+    rows = S.clause_nn(A.table(spark, sf, "benchmark"), A.table(spark, sf, "documents"), "item_id", "text", "doc_id", "text")
     return rows.withColumn("mean_nn", F.round("mean_nn", 6))
 
 

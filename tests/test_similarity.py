@@ -24,13 +24,12 @@ def jac(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-@pytest.mark.parametrize("floor", [0.3, 0.6])
-def test_max_sim_prior_equals_brute_force(spark, floor):
+def test_max_sim_prior_equals_brute_force(spark):
     rows = texts()
-    got = {r["k"]: r["max_sim"] for r in S.max_sim_prior(spark.createDataFrame(rows, "k long, g string, t string"), "k", "t", floor, ["g"]).collect()}
+    got = {r["k"]: r["max_sim"] for r in S.max_sim_prior(spark.createDataFrame(rows, "k long, g string, t string"), "k", "t", ["g"]).collect()}
     for k, g, t in rows:
         best = max((jac(grams(t), grams(u)) for j, h, u in rows if h == g and j < k), default=0.0)
-        assert got[k] == pytest.approx(best if best >= floor else 0.0), (k, t)
+        assert got[k] == pytest.approx(best), (k, t)
 
 
 def test_greedy_novelty_equals_brute_force(spark):
@@ -49,13 +48,15 @@ def test_pool_similarity_and_clauses(spark):
     rows = texts()
     a = spark.createDataFrame(rows[:40], "k long, g string, t string")
     b = spark.createDataFrame(rows[40:], "k long, g string, t string")
-    got = {r["k"]: r["max_sim"] for r in S.max_sim_to(a, b, "k", "t", 0.5, "k", "t").collect()}
+    got = {r["k"]: r["max_sim"] for r in S.max_sim_to(a, b, "k", "t", "k", "t").collect()}
+    near = {r["k"]: r["near"] for r in S.reject_near(a, b, "k", "t", "k", "t").collect()}
     for k, _, t in rows[:40]:
         best = max(jac(grams(t), grams(u)) for _, _, u in rows[40:])
-        assert got[k] == pytest.approx(best if best >= 0.5 else 0.0)
+        assert got[k] == pytest.approx(best)
+        assert near[k] == (best > 0.6)
     q = spark.createDataFrame([(1, "walk left, turn right"), (2, "zzzz qqqq")], "k long, t string")
     r = spark.createDataFrame([(1, "walk left. bow"), (2, "turn right now")], "k long, t string")
-    out = {x["k"]: (x["min_nn"], x["clauses"]) for x in S.clause_nn(q, r, "k", "t", "k", "t", 0.5).collect()}
+    out = {x["k"]: (x["min_nn"], x["clauses"]) for x in S.clause_nn(q, r, "k", "t", "k", "t").collect()}
     assert out[1][1] == 2 and 0.5 < out[1][0] < 1 and out[2][0] == 0
 
 
