@@ -13,27 +13,29 @@ def docs(spark, sf):
     return A.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
 
 
+LANGS, SHARES = ("en", "fr", "de", "es"), (0.4, 0.3, 0.2, 0.1)
+
+
 def by_lang(spark, sf):
-    return [docs(spark, sf).where(F.col("lang") == x) for x in ("en", "fr", "de")]
+    return [docs(spark, sf).where(F.col("lang") == x) for x in LANGS]
 
 
-@query("SELECT lang, count(*) AS rows FROM documents WHERE lang IN ('en', 'fr', 'de') GROUP BY 1")
+@query("SELECT lang, count(*) AS rows FROM documents GROUP BY 1")
 def mix_concat(spark, sf):
     return S.mix(by_lang(spark, sf), "concat").groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _interleave(strategy: str) -> str:
-    over = """ceil(greatest((SELECT c0 FROM z) / 0.5 + 10 * sqrt((SELECT c0 FROM z)) / 0.5, (SELECT c1 FROM z) / 0.3 + 10 * sqrt((SELECT c1 FROM z)) / 0.3,
-      (SELECT c2 FROM z) / 0.2 + 10 * sqrt((SELECT c2 FROM z)) / 0.2))::BIGINT + 100"""
-    n = "(SELECT c0 + c1 + c2 - 2 FROM z)" if strategy == "under" else over
+    own = [f"(SELECT count(*) FROM x WHERE source = {i})" for i in range(len(LANGS))]
+    over = f"ceil(greatest({', '.join(f'{c} / {p} + 10 * sqrt({c}) / {p}' for c, p in zip(own, SHARES, strict=True))}))::BIGINT + 100"
+    n = f"(SELECT count(*) - {len(LANGS) - 1} FROM x)" if strategy == "under" else over
     stop = {"under": "(SELECT min(e) FROM ends)", "over": "(SELECT max(e) FROM ends)", "once": "(SELECT max(e) FROM ends)"}[strategy]
     extra = "AND pick < q.size" if strategy == "once" else ""
     u = draw_of("'5'", "i")
-    return f"""WITH x AS (SELECT doc_id, CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 ELSE 2 END AS source FROM documents WHERE lang IN ('en', 'fr', 'de')),
+    dealt = " ".join(f"WHEN u < {round(sum(SHARES[:i + 1]), 6)} THEN {i}" for i in range(len(LANGS) - 1))
+    return f"""WITH x AS (SELECT doc_id, list_position({list(LANGS)}, lang) - 1 AS source FROM documents),
   r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS o, count(*) OVER (PARTITION BY source) AS size FROM x),
-  z AS (SELECT count(*) FILTER (source = 0) AS c0, count(*) FILTER (source = 1) AS c1, count(*) FILTER (source = 2) AS c2 FROM x),
-  g AS (SELECT i AS draw, CASE WHEN {u} / 4294967296.0 < 0.5 THEN 0 WHEN {u} / 4294967296.0 < 0.8 THEN 1 ELSE 2 END AS source
-    FROM (SELECT unnest(range(0, {n})) AS i)),
+  g AS (SELECT i AS draw, CASE {dealt} ELSE {len(LANGS) - 1} END AS source FROM (SELECT i, {u} / 4294967296.0 AS u FROM (SELECT unnest(range(0, {n})) AS i))),
   p AS (SELECT draw, source, row_number() OVER (PARTITION BY source ORDER BY draw) - 1 AS pick FROM g),
   q AS (SELECT p.*, s.size FROM p JOIN (SELECT DISTINCT source, size FROM r) s USING (source)),
   ends AS (SELECT source, min(draw) AS e FROM q WHERE pick = size - 1 GROUP BY 1)
@@ -42,17 +44,17 @@ def _interleave(strategy: str) -> str:
 
 @query(_interleave("under"))
 def interleave_under(spark, sf):
-    return S.mix(by_lang(spark, sf), "interleave_under", [0.5, 0.3, 0.2], 5, "doc_id").select("draw", "source", "doc_id")
+    return S.mix(by_lang(spark, sf), "interleave_under", list(SHARES), 5, "doc_id").select("draw", "source", "doc_id")
 
 
 @query(_interleave("over"))
 def interleave_over(spark, sf):
-    return S.mix(by_lang(spark, sf), "interleave_over", [0.5, 0.3, 0.2], 5, "doc_id").select("draw", "source", "doc_id")
+    return S.mix(by_lang(spark, sf), "interleave_over", list(SHARES), 5, "doc_id").select("draw", "source", "doc_id")
 
 
 @query(_interleave("once"))
 def interleave_once(spark, sf):
-    return S.mix(by_lang(spark, sf), "interleave_once", [0.5, 0.3, 0.2], 5, "doc_id").select("draw", "source", "doc_id")
+    return S.mix(by_lang(spark, sf), "interleave_once", list(SHARES), 5, "doc_id").select("draw", "source", "doc_id")
 
 
 RANKED = f"""r AS (SELECT doc_id, lang, source, n_chars, row_number() OVER (ORDER BY {md5_of("'1'", 'doc_id')}) - 1 AS o, count(*) OVER () AS n FROM documents)"""

@@ -106,7 +106,23 @@ def greedy_novelty(spark, sf):
     return S.greedy_novel(A.lines(spark, sf), "line_id", "line", ["lang"], n=GRAM)
 
 
-@query()
+def clauses_sql(key: str, source: str) -> str:
+    cut = f"""list_filter(list_transform(regexp_split_to_array(text, '[，。！？；,.!?;、\\n:：]+|然后|接着|再|and then|then|also'), lambda c: trim(c, ' 　' || chr(9) || chr(10) || chr(13))),
+    lambda c: length(regexp_replace(c, '[^\\p{{L}}\\p{{N}}]+', '', 'g')) >= 2)"""
+    return f"SELECT {key}, unnest(CASE WHEN len(c) > 0 THEN c ELSE [text] END) AS clause FROM (SELECT {key}, text, {cut} AS c FROM {source})"
+
+
+def word_grams_sql(rows: str) -> str:
+    base = "regexp_replace(lower(clause), '[^\\p{L}\\p{N}]+', '', 'g')"
+    many = "list_distinct(list_transform(range(1, length(b)), lambda i: substr(b, i, 2)))"
+    return f"""SELECT clause, len(g) AS n, unnest(g) AS w FROM (SELECT clause, CASE WHEN length(b) >= 2 THEN {many} WHEN length(b) = 1 THEN [b] ELSE [] END AS g
+    FROM (SELECT clause, {base} AS b FROM (SELECT DISTINCT clause FROM {rows})))"""
+
+
+@query(f"""WITH k AS ({clauses_sql('item_id', 'benchmark')}), v AS ({clauses_sql('doc_id', 'documents')}), xa AS ({word_grams_sql('k')}), xb AS ({word_grams_sql('v')}),
+  j AS (SELECT xa.clause AS a, xb.clause AS b, any_value(xa.n) AS na, any_value(xb.n) AS nb, count(*) AS i FROM xa JOIN xb USING (w) GROUP BY 1, 2),
+  m AS (SELECT a AS clause, max(i / (na + nb - i)::DOUBLE) AS best FROM j GROUP BY 1)
+  SELECT item_id, min(coalesce(best, 0)) AS min_nn, round(avg(coalesce(best, 0)), 6) AS mean_nn, count(*) AS clauses FROM k LEFT JOIN m USING (clause) GROUP BY 1""")
 def clause_neighbours(spark, sf):
     """Each benchmark item's clauses against all clauses of the documents."""
     rows = S.clause_nn(A.table(spark, sf, "benchmark"), A.table(spark, sf, "documents"), "item_id", "text", "doc_id", "text")
