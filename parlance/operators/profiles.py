@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -122,37 +119,6 @@ def saturation(df: DataFrame, min_novel: int, patience: int, cell: str = "cell",
     ).drop("_island", "_hit", "_stop")
 
 
-def cap_openers(df: DataFrame, key: str, text: str, order: str, cap: float, floor: int = 50,
-                block: int = 100_000, by: Sequence[str] = ()) -> DataFrame:
-    """``kept`` is false once an opener holds ``cap`` of the accepted rows before it (after ``floor`` rows).
-
-    Each decision depends on all earlier ones, so rows are decided in blocks of ``block`` consecutive rows that
-    start with fresh counts: exact for pools up to one block, bounded tasks beyond. Only (order, opener) enters
-    Python.
-    """
-    ranked = rank_by_int(df, order, by, out="_o")
-    group = F.to_json(F.struct(*by)) if by else F.lit("")
-    slim = ranked.select(
-        F.col(key).alias("key"), group.alias("grp"), F.floor(F.col("_o") / block).cast("long").alias("blk"),
-        F.col("_o").alias("seq"), opener(F.col(text)).alias("opener"),
-    )
-    kind = df.schema[key].dataType.simpleString()
-
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        held, total, kept = Counter(), 0, []
-        for first in pdf["opener"]:
-            full = cap > 0 and total >= floor and held[first] >= cap * total
-            kept.append(not full)
-            if not full:
-                held[first] += 1
-                total += 1
-        return pd.DataFrame({"key": pdf["key"].to_numpy(), "kept": kept})
-
-    plan = slim.groupBy("grp", "blk").applyInPandas(decide, f"key {kind}, kept boolean")
-    return df.join(plan.withColumnRenamed("key", key), key)
-
-
 def lr_hint(df: DataFrame, cutoff: int, batch_size: int, base_lr: float = 3e-4, base_batch: int = 4_000_000,
             divide: float = 1.0, labels: str = "labels") -> DataFrame:
     """One row: valid-token ratio of padded batches, tokens per step, learning rate ~ sqrt(tokens)."""

@@ -14,13 +14,12 @@ from parlance.showcase.similarity import norm_sql, shape_sql
 OPENER = "substr(regexp_replace({0}, '^[\\s，,。.!！?？~～…、]+', ''), 1, 2)"
 
 
-@query(f"""WITH x AS (SELECT len({words_of('text')}) AS n, row_number() OVER (ORDER BY doc_id) - 1 AS o FROM documents), k AS (SELECT n, row_number() OVER (ORDER BY n) - 1 AS r, count(*) OVER () AS c FROM x WHERE o % 3 = 0)
+@query(f"""WITH x AS (SELECT len({words_of('text')}) AS n FROM documents), k AS (SELECT n, row_number() OVER (ORDER BY n) - 1 AS r, count(*) OVER () AS c FROM x)
   SELECT count(*) AS rows, max(n) AS max, round(avg(n), 6) AS mean, count(*) FILTER (n > 500) AS over_cutoff, max(n) FILTER (r = least(c - 1, floor(c * 0.5))) AS p50,
   max(n) FILTER (r = least(c - 1, floor(c * 0.9))) AS p90, max(n) FILTER (r = least(c - 1, floor(c * 0.99))) AS p99 FROM k""")
 def length_summary(spark, sf):
-    """The report reads every third row by rule."""
     docs = tokenize(A.table(spark, sf, "documents"), "text").select("doc_id", F.size("tokens").alias("n"))
-    return P.length_summary(docs, "n", "doc_id", 500, 3).withColumn("mean", F.round("mean", 6))
+    return P.length_summary(docs, "n", "doc_id", 500).withColumn("mean", F.round("mean", 6))
 
 
 @query(f"""WITH d AS (SELECT source, lang, length(text) AS n, {norm_sql('text')} AS k FROM documents), c AS (SELECT source, lang, count(*) AS n FROM d GROUP BY ALL),
@@ -74,12 +73,6 @@ def growth_saturation(spark, sf):
     return rows.select("user_id", "day", "valid_total", "novel_total", "quiet", "stopped")
 
 
-@query()
-def capped_openers(spark, sf):
-    rows = P.cap_openers(A.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", "doc_id", 0.05, 50)
-    return rows.select("doc_id", "kept")
-
-
 @query(f"""WITH {TOKENS}, n AS (SELECT len(w) AS n, least(max(len(w)) OVER (PARTITION BY ordinal // 8), 400) AS m FROM t), x AS (SELECT sum(least(n, m))::BIGINT AS valid_tokens, sum(m)::BIGINT AS total_tokens FROM n)
   SELECT *, round(valid_tokens / total_tokens::DOUBLE, 6) AS valid_ratio, round(400 * 8 * valid_tokens / total_tokens::DOUBLE, 4) AS token_batch_size,
   round(3e-4 * sqrt(400 * 8 * valid_tokens / total_tokens::DOUBLE / 4000000), 9) AS learning_rate FROM x""")

@@ -23,11 +23,13 @@ def _drain(spark, frame, mode: str):
     target = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def put(batch, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{target}/table")
+        # a batch played again overwrites its own folder
+        folder = f"{target}/table" if mode == "complete" else f"{target}/table/batch={number}"
+        batch.write.mode("overwrite").parquet(folder)
 
     run = frame.writeStream.outputMode(mode).option("checkpointLocation", f"{target}/state").foreachBatch(put)
     run.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{target}/table")
+    return spark.read.parquet(f"{target}/table").drop("batch")
 
 
 @query("""SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant' AND length(text) > 0""")

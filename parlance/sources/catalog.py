@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from parlance.model import COLUMN_KEYS, TAG_KEYS, DatasetSpec
 from parlance.operators.align import align
-from parlance.operators.sampling import head_n, sample_n
+from parlance.operators.sampling import head_n, reweight, sample_n
 from parlance.sources.files import read_files
 
 REWARD_STAGE = "rm"
+OPTIONS = frozenset((
+    "file_name", "cloud_file_name", "path", "source", "hf_hub_url", "ms_hub_url", "om_hub_url", "script_url", "formatting",
+    "ranking", "subset", "split", "folder", "num_samples", "size", "weight", "streaming", "converter", "columns", "tags",
+))
 
 
 def parse_entry(entry: dict, base: str = "") -> DatasetSpec:
@@ -20,6 +24,9 @@ def parse_entry(entry: dict, base: str = "") -> DatasetSpec:
     source = entry.get("file_name") or entry.get("cloud_file_name") or entry.get("path") or entry.get("source")
     if source is None:
         raise ValueError(f"entry has no readable source: {sorted(entry)}")
+    unknown = sorted(set(entry) - OPTIONS)
+    if unknown:
+        raise ValueError(f"unknown options {unknown}; known: {sorted(OPTIONS)}")
     if base and "file_name" in entry:
         source = f"{base.rstrip('/')}/{source}"
     spec = DatasetSpec(
@@ -50,16 +57,24 @@ def load(spark: SparkSession, catalog: dict, name: str, stage: str | None = None
          key: str | None = None, max_samples: int | None = None, seed: int = 0) -> DataFrame:
     """Catalog name to canonical rows: scan, sample, then align, so that dropped rows are never aligned.
 
-    Sampling needs a row key; without one the content hash of the row is used.
+    Sampling needs a row key; without one the content hash of the row is used. ``folder`` is a folder below the source,
+    ``size`` and ``weight`` draw rows with replacement, ``converter`` names the layout instead of ``formatting``. Files have
+    no subsets or splits, and a stream is opened by ``read_stream``: such entries raise.
     """
     spec = resolve(catalog, name, stage, base)
-    df = read_files(spark, spec.source)
-    if spec.num_samples is not None or max_samples is not None:
+    if spec.subset is not None or spec.split != "train" or spec.streaming:
+        raise ValueError(f"dataset {name}: subset, split and streaming do not apply to files read as a batch")
+    df = read_files(spark, f"{spec.source.rstrip('/')}/{spec.folder}" if spec.folder else spec.source)
+    draws = spec.size is not None or spec.weight is not None
+    if draws or spec.num_samples is not None or max_samples is not None:
         if key is None:
             key = "_row_key"
-            df = df.withColumn(key, F.sha2(F.to_json(F.struct(*df.columns)), 256))
+            # 48 bits: an integer order of at most 4,096 zones, see rank_by_int
+            df = df.withColumn(key, F.shiftrightunsigned(F.xxhash64(F.to_json(F.struct(*df.columns))), 16))
         if spec.num_samples is not None:
             df = sample_n(df, spec.num_samples, key, seed)
+        if draws:
+            df = reweight(df, key, spec.size, spec.weight, seed)
         if max_samples is not None:
             df = head_n(df, max_samples, key)
-    return align(df, spec)
+    return align(df, replace(spec, formatting=spec.converter) if spec.converter else spec)

@@ -18,14 +18,17 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def _files(spark: SparkSession, path: str) -> list[str]:
-    """Data files of a path (one level; hidden files and markers are left out)."""
+    """Data files of a path and its sub-folders (hidden files, folders and markers are left out)."""
     where, fs = _hadoop(spark, path)
     if not fs.exists(where):
         raise FileNotFoundError(f"no data at {path}")
     if not fs.getFileStatus(where).isDirectory():
         return [path]
-    found = [s.getPath().toString() for s in fs.listStatus(where) if not s.isDirectory()]
-    return sorted(f for f in found if not f.rsplit("/", 1)[-1].startswith(("_", ".")))
+    found, listed = [], fs.listFiles(where, True)
+    while listed.hasNext():
+        found.append(listed.next().getPath().toString())
+    below = len(fs.getFileStatus(where).getPath().toString().rstrip("/"))
+    return sorted(f for f in found if not any(part.startswith(("_", ".")) for part in f[below:].split("/")))
 
 
 def _suffix(path: str) -> str:
@@ -36,6 +39,7 @@ def _suffix(path: str) -> str:
 def read_files(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """A file or folder in the format its suffix names; a folder must hold one format only.
 
+    Sub-folders are read too; those named ``column=value`` give a column.
     ``.json`` may hold one array over many lines, ``.jsonl`` one record per line (splittable).
     """
     files = _files(spark, path)
@@ -46,7 +50,7 @@ def read_files(spark: SparkSession, path: str, schema: StructType | str | None =
     if len(kinds) != 1:
         raise ValueError(f"files at {path} have different formats: {sorted(suffixes)}")
     kind = kinds.pop()
-    reader = spark.read
+    reader = spark.read if files == [path] else spark.read.option("basePath", path)
     if schema is not None:
         reader = reader.schema(schema)
     if kind == "csv":

@@ -26,6 +26,14 @@ def test_catalog_load_and_reuse(spark, tmp_path):
     entries = {"d": {"file_name": "d.json", "num_samples": 8}}
     rows = catalog.load(spark, entries, "d", "sft", str(tmp_path)).collect()
     assert len(rows) == 8 and {r["_response"][0]["content"] for r in rows} == {f"a{i}" for i in range(5)}
+    more = {"size": 4, "weight": 1.5, "converter": "alpaca"}
+    assert catalog.load(spark, {"d": {"file_name": "d.json", **more}}, "d", "sft", str(tmp_path)).count() == 6
+    assert catalog.load(spark, entries, "d", "sft", str(tmp_path), max_samples=3).count() == 3
+    for bad in ({"split": "test"}, {"streaming": True}, {"subset": "a"}, {"sise": 4}):
+        with pytest.raises(ValueError):
+            catalog.load(spark, {"d": {"file_name": "d.json", **bad}}, "d", "sft", str(tmp_path))
+    spark.range(6).selectExpr("id", "id % 2 AS part").write.partitionBy("part").parquet(str(tmp_path / "deep" / "p"))
+    assert {(r["id"], r["part"]) for r in files.read_files(spark, str(tmp_path / "deep" / "p")).collect()} == {(i, i % 2) for i in range(6)}
     target, calls = str(tmp_path / "ready"), []
 
     def build():
