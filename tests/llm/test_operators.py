@@ -102,6 +102,25 @@ def test_toxicity(spark, docs_of, odd_rows):
     assert len(rows_of(toxicity.scores(docs_of(rows), labels.limit(0)))) == len(rows)
 
 
+def test_toxicity_learns_beginnings(spark, docs_of):
+    rng = random.Random(8)
+    plain = [a + b for a in ("mora", "tile", "vano", "peku") for b in ("", "s", "ti", "ron")]
+    rows, marks = [], []
+    for i in range(400):
+        words = [rng.choice(plain) for _ in range(40)]
+        if i % 4 == 0:
+            words[rng.randrange(40)] = "grux" + rng.choice(("", "a", "en", "ilo"))
+        rows.append((i, " ".join(words), "s"))
+        marks.append((i, int(i % 4 == 0)))
+    got = rows_of(toxicity.scores(docs_of(rows), spark.createDataFrame(marks, "doc_id long, toxic int")))
+    assert all(predicted == (doc % 4 == 0) for doc, _, _, predicted, _ in got)
+    sample = spark.createDataFrame([("grux words", 1)] * 50 + [(None, 1), ("", 0)], "text string, _label int")
+    assert toxicity.learned_terms(sample) == []
+    matcher = toxicity.Matcher(["grux"])
+    assert matcher.counts("gruxen, a grux. not grux! he said gruxa; xgrux")[toxicity.KINDS.index("learned")] == 2
+    assert toxicity.Matcher().counts("calm " * 2000 + "you. " + "calm " * 2000 + "idiot")[0] == 1
+
+
 @pytest.mark.parametrize(("text", "kinds"), [
     ("You are an idiot.", {"aimed": 1}), ("An idiot, they say.", {"bare": 1}), ("idiot like you", {"bare": 0, "aimed": 1}),
     ("you are not an idiot", {"negated": 1}), ("he said you are scum", {"reported": 1}), ("I will kill you", {"threat": 1}),
