@@ -19,6 +19,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BEFORE = (W.unboundedPreceding, -1)
+#: Parts of a bin that holds a wanted rank of fractional values.
+PARTS = 65536
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -86,32 +88,42 @@ def floor_rank(p: float, n: Column) -> Column:
     return F.least(n - 1, F.floor(n * F.lit(p)))
 
 
+def _held(bins: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """The bins that hold a wanted rank, with the ranks they hold (_want) and the rows before them (_start)."""
+    start = F.col("_end") - F.col("_bn")
+    hit = F.filter("_want", lambda w: (w["rank"] >= start) & (w["rank"] < F.col("_end")))
+    return bins.select(*cell, hit.alias("_want"), start.alias("_start")).where(F.size("_want") > 0)
+
+
 def pick_ranks(df: DataFrame, by: Sequence[str], value: str, picks: dict, rule, bin_width: float = 1.0) -> DataFrame:
     """Exact order statistics per group: one row per group, one column per entry of ``picks``.
 
-    Pass one counts value bins of ``bin_width``; pass two keeps only the distinct values of the bins
-    that hold a wanted rank. No task sorts a group.
+    Pass one counts value bins of ``bin_width`` and keeps the distinct values of the bins that hold a wanted rank; for
+    fractional values pass two does the same with those bins cut into PARTS. No task sorts a group or a whole bin of it.
     """
     by = list(by)
     spread = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     ).withColumn("_bin", F.floor(F.col("_v") / F.lit(bin_width)))
     bins = spread.groupBy(*by, "_bin").agg(F.sum("_n").alias("_bn"))
-    ordered = W.partitionBy(*_group(by)).orderBy("_bin")
-    bins = bins.withColumn("_end", F.sum("_bn").over(ordered)).withColumn(
+    bins = bins.withColumn("_end", F.sum("_bn").over(W.partitionBy(*_group(by)).orderBy("_bin"))).withColumn(
         "_total", F.sum("_bn").over(W.partitionBy(*_group(by)))
     )
     wanted = F.array(*[
         F.struct(F.lit(name).alias("name"), rule(p, F.col("_total")).cast("long").alias("rank"))
         for name, p in picks.items()
     ])
-    start = F.col("_end") - F.col("_bn")
-    hit = F.filter(wanted, lambda w: (w["rank"] >= start) & (w["rank"] < F.col("_end")))
-    targets = bins.withColumn("_want", hit).where(F.size("_want") > 0).select(
-        *by, "_bin", F.col("_want"), start.alias("_start")
-    )
-    inside = W.partitionBy(*by, "_bin").orderBy("_v")
-    values = join_null_safe(spread, targets, by + ["_bin"]).withColumn(
+    cell = by + ["_bin"]
+    targets = _held(bins.withColumn("_want", wanted), cell)
+    if dict(df.dtypes)[value].startswith(("float", "double", "decimal")):
+        place = (F.col("_v") - F.col("_bin") * F.lit(bin_width)) * F.lit(PARTS / bin_width)
+        spread = join_null_safe(spread, targets.select(*cell), cell).withColumn("_part", F.floor(place))
+        parts = spread.groupBy(*cell, "_part").agg(F.sum("_n").alias("_bn"))
+        ends = F.col("_start") + F.sum("_bn").over(W.partitionBy(*cell).orderBy("_part"))
+        targets = _held(join_null_safe(parts, targets, cell).withColumn("_end", ends), cell + ["_part"])
+        cell = cell + ["_part"]
+    inside = W.partitionBy(*cell).orderBy("_v")
+    values = join_null_safe(spread, targets, cell).withColumn(
         "_stop", F.col("_start") + F.sum("_n").over(inside)
     ).withColumn("_first", F.col("_stop") - F.col("_n"))
     found = values.withColumn(
