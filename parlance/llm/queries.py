@@ -36,7 +36,7 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, the text without repeated lines, n_lines, n_dropped."""
-    return linedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return linedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), equal_from=1)
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from parlance.llm import embeddings, exactdup, extraction, linedup, mixing, packing, simhash, tokencount, toxicity, warc
 from parlance.llm.components import components
+from parlance.llm.queries import QUERIES
 
 
 def rows_of(df):
@@ -337,6 +339,36 @@ def test_line_dedup(docs_of, odd_rows, monkeypatch, block):
     assert rows_of(linedup.dedup_lines(docs_of([]))) == []
 
 
+def test_line_dedup_takes_short_lines(spark, tmp_path):
+    rows = [(1, "Les.\nx\n\nA first line that is long enough."), (2, " Les. \nx y\n\nx\nx"), (3, "Lez.\nLes."), (None, "Les.\n "), (4, None),
+            (5, "A first line that is lung enough.\nx y\n9")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {(1, "Les.\nx\n\nA first line that is long enough.", 4, 0), (2, "x y\n", 5, 3), (3, "Lez.", 2, 1), (None, " ", 2, 1), (4, None, 0, 0),
+            (5, "9", 3, 2)}
+    assert set(rows_of(QUERIES["op7_line_dedup"](spark, str(tmp_path)))) == want
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_chars long")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
+    assert kept == {d: t for d, t, *_ in want if d is not None}
+
+
+def test_short_lines_against_a_plain_version(docs_of, odd_rows):
+    rng = random.Random(12)
+    rows = list(odd_rows[:3]) + [(100 + i, "\n".join(rng.choice(["", " "]) + "ab"[:rng.randrange(3)] * rng.randrange(4) for _ in range(rng.randrange(9))), "s")
+                                 for i in range(80)]
+    got = {(d, t, total, lost) for d, t, *_, total, lost in rows_of(linedup.dedup_lines(docs_of(rows), equal_from=1))}
+    want, seen = set(), set()
+    for d, t, _ in sorted(rows, key=lambda r: r[0]):
+        kept = []
+        for line in (t or "").split("\n"):
+            if line.strip() not in seen:
+                kept.append(line)
+            if line.strip():
+                seen.add(line.strip())
+        total = 0 if t is None else t.count("\n") + 1
+        want.add((d, None if t is None else "\n".join(kept), total, 0 if t is None else total - len(kept)))
+    assert got == want
+
+
 def test_mixing(docs_of, odd_rows):
     rng = random.Random(11)
     rows = odd_rows[:3] + odd_rows[5:] + [
