@@ -351,6 +351,37 @@ def test_line_dedup_takes_short_lines(spark, tmp_path):
     assert kept == {d: t for d, t, *_ in want if d is not None}
 
 
+def test_within_many_edits():
+    rng = random.Random(13)
+    for errors in (4, 7):
+        for _ in range(1500):
+            a = "".join(rng.choice("abc") for _ in range(rng.randrange(30)))
+            b = "".join(rng.choice("abcd") if rng.random() < 0.15 else c for c in a if rng.random() < 0.9)
+            assert linedup.within(a, b, errors) == (edits(a, b) <= errors)
+
+
+def test_long_lines_against_every_pair(docs_of):
+    rng = random.Random(14)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 7))) for _ in range(40)]
+    lines = ["-" * 90, "-" * 94, "-" * 99, "ab" * 60, "ab" * 63]
+    while len(lines) < 110:
+        line = list(" ".join(rng.choice(words) for _ in range(rng.randrange(9, 45))))
+        lines.append("".join(line).strip())
+        for _ in range(2):
+            for _ in range(rng.randrange(1, 2 + len(line) // 16)):
+                at = rng.randrange(len(line))
+                line[at:at + rng.randrange(2)] = rng.choice(["", "x", "é"])
+            lines.append("".join(line).strip())
+    lines = list(dict.fromkeys(lines))
+    rng.shuffle(lines)
+    near = {b for i, b in enumerate(lines) for a in lines[:i]
+            if abs(len(a) - len(b)) <= len(b) // 10 and edits(a, b) <= max(2, min(len(a), len(b)) // 20)}
+    many = {b for i, b in enumerate(lines) for a in lines[:i] if abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2}
+    assert len(near) > len(many) + 10
+    got = {t: lost for _, t, *_, lost in rows_of(linedup.dedup_lines(docs_of([(i, x, "s") for i, x in enumerate(lines)])))}
+    assert {t for t, lost in got.items() if not lost} - {""} == set(lines) - near
+
+
 def test_short_lines_against_a_plain_version(docs_of, odd_rows):
     rng = random.Random(12)
     rows = list(odd_rows[:3]) + [(100 + i, "\n".join(rng.choice(["", " "]) + "ab"[:rng.randrange(3)] * rng.randrange(4) for _ in range(rng.randrange(9))), "s")
