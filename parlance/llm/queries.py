@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.llm import embeddings, exactdup, extraction, linedup, mixing, packing, simhash, tokencount, toxicity, warc
+from parlance.llm import embeddings, exactdup, extraction, linedup, merkle, mixing, packing, simhash, tokencount, toxicity, warc
 from parlance.llm.tables import table
 
 
@@ -51,12 +51,64 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified_leaves(table(spark, folder, "documents"))
+
+
+def merkle_sql(depth: int = 8) -> str:
+    """The same digests level by level, for up to 8^depth leaves of a language and 8^2 languages."""
+
+    def framed(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(framed(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, start: str, levels: int) -> list[str]:
+        """Nodes (g, i, h, n) of each level, and their runs (g, p, hs, n)."""
+        out = [f"{name}0 AS ({start})"]
+        for k in range(levels):
+            out.append(f"{name}r{k} AS (SELECT g, i // 8 AS p, list(h ORDER BY i) AS hs, any_value(n) AS n FROM {name}{k} GROUP BY ALL)")
+            out.append(f"""{name}{k + 1} AS (SELECT g, p AS i, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h,
+  (n + 7) // 8 AS n FROM {name}r{k})""")
+        return out
+
+    def climb(name: str, rows: str, place: str, group: str, levels: int) -> list[str]:
+        """Rows with the siblings added to proof, and f folded, level by level."""
+        out, last = [], rows
+        for k in range(levels):
+            at = f"({place} // {8 ** k} % 8)"
+            sides = [f"array_to_string(hs[:{at}], '')", f"array_to_string(hs[{at} + 2:], '')"]
+            out.append(f"""{name}c{k} AS (SELECT x.* EXCLUDE (proof, f), proof || CASE WHEN n > 1 THEN {sides[0]} || {sides[1]} ELSE '' END AS proof,
+  CASE WHEN n > 1 THEN sha256({sides[0]} || f || {sides[1]}) ELSE f END AS f
+  FROM {last} x JOIN {name}r{k} r ON r.g = {group} AND r.p = {place} // {8 ** (k + 1)})""")
+            last = f"{name}c{k}"
+        return out
+
+    bits = "list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+    crc = f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {bits}), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"""d AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS gg, {leaf('text')} AS leaf,
+  CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS f FROM documents)""",
+        "e AS (SELECT *, row_number() OVER (PARTITION BY gg ORDER BY doc_id) - 1 AS ii, '' AS proof FROM d)",
+        *tree("t", "SELECT gg AS g, ii AS i, leaf AS h, count(*) OVER (PARTITION BY gg) AS n FROM e", depth),
+        *tree("u", f"SELECT 0 AS g, g AS i, h, count(*) OVER () AS n FROM t{depth}", 2),
+        *climb("t", "e", "ii", "gg", depth),
+        *climb("u", f"tc{depth - 1}", "gg", "0", 2),
+    ]
+    return "WITH " + ", ".join(parts) + f""" SELECT doc_id, leaf, t.h AS subroot, u.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = u.h AS verified
+  FROM uc1 JOIN t{depth} t ON t.g = gg JOIN u2 u ON true"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_neardup, op2_toxicity, op3_token_counts, op4_packing, op5_embedding_neardup, op6_warc, op7_line_dedup,
-    op8_mixing, op9_main_text, op10_exact_dedup,
+    op8_mixing, op9_main_text, op10_exact_dedup, op11_merkle_manifest,
 )}
 
 ORACLES = {
+    "op11_merkle_manifest": merkle_sql(),
     "op5_embedding_neardup": """
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
