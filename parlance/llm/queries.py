@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.llm import embeddings, exactdup, extraction, linedup, merkle, mixing, packing, simhash, tokencount, toxicity, warc
+from parlance.llm import audit, embeddings, exactdup, extraction, linedup, merkle, mixing, packing, simhash, tokencount, toxicity, warc
 from parlance.llm.tables import table
 
 
@@ -55,6 +55,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified_leaves(table(spark, folder, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def merkle_sql(depth: int = 8) -> str:
     """The same digests level by level, for up to 8^depth leaves of a language and 8^2 languages."""
 
@@ -104,10 +108,40 @@ def merkle_sql(depth: int = 8) -> str:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_neardup, op2_toxicity, op3_token_counts, op4_packing, op5_embedding_neardup, op6_warc, op7_line_dedup,
-    op8_mixing, op9_main_text, op10_exact_dedup, op11_merkle_manifest,
+    op8_mixing, op9_main_text, op10_exact_dedup, op11_merkle_manifest, op13_filter_audit,
 )}
 
 ORACLES = {
+    "op13_filter_audit": """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), m AS (
+  SELECT doc_id, part, (len(w) < 200)::INT AS a, (100 * len(list_distinct(w)) < 50 * len(w))::INT AS b,
+         (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT AS c,
+         regexp_matches(t, '[#$%&*|]')::INT AS d, (doc_id > min(doc_id) OVER (PARTITION BY t))::INT AS e FROM d
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), k AS (
+  SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f), o AS (
+  SELECT p.f || q.f || r.f || s.f || t.f AS filter_order FROM x p JOIN x q ON q.f <> p.f JOIN x r ON r.f NOT IN (p.f, q.f)
+  JOIN x s ON s.f NOT IN (p.f, q.f, r.f) JOIN x t ON t.f NOT IN (p.f, q.f, r.f, s.f)
+), z AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS f, n, good, toxic, fails[ascii(f) - 64] = 1 AS now,
+         len(list_filter(range(1, step), lambda i: fails[ascii(substr(filter_order, i, 1)) - 64] = 1)) > 0 AS before,
+         list_sum(fails) = 1 AS one
+  FROM k, o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT now AND NOT before), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (now AND NOT before), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (now AND before), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (now AND one), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (now AND NOT before), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (now AND NOT before), 0)::BIGINT AS toxic_lost FROM z GROUP BY ALL
+)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r""",
     "op11_merkle_manifest": merkle_sql(),
     "op5_embedding_neardup": """
 WITH RECURSIVE v AS (
