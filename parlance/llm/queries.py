@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.llm import audit, embeddings, exactdup, extraction, linedup, merkle, mixing, packing, simhash, tokencount, toxicity, warc
+from parlance.llm import audit, embeddings, exactdup, extraction, linedup, merkle, mixing, packing, personal, simhash, tokencount, toxicity, warc
 from parlance.llm.tables import table
 
 
@@ -55,6 +55,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.verified_leaves(table(spark, folder, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.span_digests(personal.personal_spans(table(spark, folder, "documents")))
+
+
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -108,7 +112,7 @@ def merkle_sql(depth: int = 8) -> str:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_neardup, op2_toxicity, op3_token_counts, op4_packing, op5_embedding_neardup, op6_warc, op7_line_dedup,
-    op8_mixing, op9_main_text, op10_exact_dedup, op11_merkle_manifest, op13_filter_audit,
+    op8_mixing, op9_main_text, op10_exact_dedup, op11_merkle_manifest, op12_personal_data, op13_filter_audit,
 )}
 
 ORACLES = {
