@@ -31,6 +31,7 @@ OUTSIDE = 0
 LONGEST = 24
 SURE = 0.9
 UNSEEN = 2.0
+MOST_GROUPS = 6
 WINDOWS = 150
 #: Most characters of a candidate; windows reach further than that.
 WIDEST, MARGIN = 80, 100
@@ -39,7 +40,7 @@ SPANS = "array<struct<kind:string,start:int,end:int,added:boolean>>"
 # ---- the rules ---------------------------------------------------------------------------------------
 
 HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-ADDRESS = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+ADDRESS = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Digits with few marks between them: holds every address and every chain whole.
@@ -219,12 +220,22 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> tuple[list[int],
         first = text[bounds[i]]
         if blocked[i] or not (first in "+(" or first.isascii() and first.isalnum()):
             continue
+        digits, groups, sign, small = 0, 0, False, False
         for j in range(i + 1, min(n, i + LONGEST) + 1):
-            last = text[bounds[j - 1]]
-            if blocked[j - 1] or last == "\n" or bounds[j] - bounds[i] > WIDEST:
+            low, high = bounds[j - 1], bounds[j]
+            last = text[low]
+            if blocked[j - 1] or last == "\n" or high - bounds[i] > WIDEST:
                 break
-            if last.isascii() and last.isalnum():
-                told = features_of(text, bounds[i], bounds[j])
+            if "0" <= last <= "9":
+                digits += high - low
+                groups += 1
+                small = small or groups > 1 and high - low == 1
+            elif last == "@" or last in "aA" and text[low:high] in ("at", "AT"):
+                sign = True
+            # cheap bounds first: with no at-sign, at most MOST_GROUPS groups of two digits or more behind the first, or four of any size
+            plausible = sign or 9 <= digits <= 19 and groups <= MOST_GROUPS and not small or groups == 4 and digits <= 12
+            if plausible and last.isascii() and last.isalnum():
+                told = features_of(text, bounds[i], high)
                 if told:
                     found.append((i, j, told))
     return bounds, found, fixed
@@ -330,8 +341,13 @@ class Field:
         if not found:
             return []
         segments = self._scores(self._known(found))
+        # a candidate that loses in the best company is in no best segmentation; mostly none is left
+        company = self.steps[:, 1:].max(axis=0) + np.maximum(0.0, self.steps[1:, :].max(axis=1))
+        able = [s for s in segments if (s[3] + company).max() > 0]
+        if not able:
+            return []
         n = len(bounds) - 1
-        table, came = self._sums(n, segments, fixed, most=True)
+        table, came = self._sums(n, able, fixed, most=True)
         j, kind, chosen = n, int(table[n].argmax()), []
         while j > 0:
             i, before = came[j][kind]
