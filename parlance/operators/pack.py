@@ -1,4 +1,4 @@
-"""Batches and packs. Every group here is one bounded batch (``batch_id``, 1000 rows by default)."""
+"""Batches and packs. Groups are bounded batches (``batch_id``, 1000 rows by default); budget batches run over the whole order."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions.ranks import rank_by_int
 from parlance.model import IGNORE_LABEL, MAX_SUB_SEQUENCE
+from parlance.operators.ordered import RANGE_ROWS, budget_batches
 
 BATCH_ROWS = 1000
 
@@ -132,68 +133,21 @@ def assemble_packs(df: DataFrame, capacity: int, neat: bool = False, batch: str
     return packs.select(batch, "pack_id", *[c.alias(n) for n, c in out.items()])
 
 
-def _cut_batches(df: DataFrame, key: str, group: str, order: str, length, closes) -> DataFrame:
-    kind = df.schema[key].dataType.simpleString()
+def dynamic_batches(df: DataFrame, cutoff: int, micro_batch_size: int, key: str, ids: str = "input_ids",
+                    range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Batches in key order whose padded size (longest row times rows) stays within cutoff * micro_batch_size.
 
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        number, state, ids, done = 0, None, [], []
-        for n in pdf["length"]:
-            state, starts_new, ends_here = closes(state, int(n))
-            if starts_new:
-                done.append(True)
-                number += 1
-            ids.append(number)
-            if ends_here:
-                done.append(True)
-                number += 1
-        complete = [i < len(done) for i in ids]
-        return pd.DataFrame({
-            "grp": pdf["grp"].to_numpy(), "key": pdf["key"].to_numpy(), "micro_batch": ids, "complete": complete,
-        })
-
-    slim = df.select(
-        F.col(group).cast("long").alias("grp"), F.col(key).alias("key"), F.col(order).alias("seq"),
-        length.alias("length"),
-    )
-    plan = slim.groupBy("grp").applyInPandas(assign, f"grp long, key {kind}, micro_batch long, complete boolean")
-    plan = plan.select(F.col("grp").alias(group), F.col("key").alias(key), "micro_batch", "complete")
-    return df.join(plan, [group, key])
-
-
-def dynamic_batches(df: DataFrame, cutoff: int, micro_batch_size: int, key: str, group: str = "batch_id",
-                    order: str = "ordinal", ids: str = "input_ids") -> DataFrame:
-    """Batches whose padded size (longest row times rows) stays within cutoff * micro_batch_size.
-
-    ``group`` is one loader buffer. The last batch of a buffer is marked ``complete = false``
-    (the loader does not emit it); no row is lost.
+    Numbered over the whole table with no restart; the last batch of all is marked ``complete = false`` unless it has
+    reached the budget (a loader does not emit it), and no row is lost.
     """
-    budget = cutoff * micro_batch_size
-
-    def closes(state, n):
-        longest, used = state or (0, 0)
-        starts_new = used > 0 and max(longest, n) * (used + 1) > budget
-        if starts_new:
-            longest, used = 0, 0
-        longest, used = max(longest, n), used + 1
-        ends = longest * used >= budget
-        return (None if ends else (longest, used)), starts_new, ends
-
-    return _cut_batches(df, key, group, order, F.least(F.size(ids), F.lit(cutoff)), closes)
-
-
-def token_batches(df: DataFrame, cutoff: int, micro_batch_size: int, key: str, group: str = "batch_id",
-                  order: str = "ordinal", ids: str = "input_ids") -> DataFrame:
-    """Batches whose summed length stays within the budget; closed by the first row that does not fit."""
-    budget = cutoff * micro_batch_size
+    return budget_batches(df, key, F.least(F.size(ids), F.lit(cutoff)), cutoff * micro_batch_size, True, range_rows)
 
-    def closes(state, n):
-        used = state or 0
-        if used + n > budget:
-            return n, True, False
-        return used + n, False, False
 
-    return _cut_batches(df, key, group, order, F.least(F.size(ids), F.lit(cutoff)), closes)
+def token_batches(df: DataFrame, cutoff: int, micro_batch_size: int, key: str, ids: str = "input_ids",
+                  range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Batches in key order whose summed length stays within the budget; closed by the first row that does not fit, so the last
+    one is never complete."""
+    return budget_batches(df, key, F.least(F.size(ids), F.lit(cutoff)), cutoff * micro_batch_size, False, range_rows)
 
 
 def concat_batches(df: DataFrame, cutoff: int, batch: str = "batch_id", order: str = "ordinal") -> DataFrame:

@@ -233,18 +233,29 @@ def padded_batches(spark, sf):
     )
 
 
-@query()
+@query(f"""WITH RECURSIVE {TOKENS}, n AS (SELECT ordinal, least(len(w), 1024) AS n FROM t),
+  r AS (SELECT 0 AS i, 0 AS b, n AS m, 1 AS u FROM n WHERE ordinal = 0
+    UNION ALL SELECT i + 1, CASE WHEN greatest(m, n) * (u + 1) > 4096 THEN b + 1 ELSE b END,
+      CASE WHEN greatest(m, n) * (u + 1) > 4096 THEN n ELSE greatest(m, n) END, CASE WHEN greatest(m, n) * (u + 1) > 4096 THEN 1 ELSE u + 1 END
+    FROM r JOIN n ON ordinal = i + 1)
+  SELECT b AS micro_batch, count(*) AS rows, max(m) AS longest, b < (SELECT max(b) FROM r) OR max(m) * max(u) >= 4096 AS complete FROM r GROUP BY b""")
 def padded_budget_batches(spark, sf):
+    """Batches by padded size over the whole table, none restarted."""
     rows = pack.dynamic_batches(token_rows(spark, sf), 1024, 4, "doc_id")
-    return rows.groupBy("batch_id", "micro_batch", "complete").agg(
+    return rows.groupBy("micro_batch", "complete").agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.least(F.size("input_ids"), F.lit(1024))).alias("longest")
     )
 
 
-@query()
+@query(f"""WITH RECURSIVE {TOKENS}, n AS (SELECT ordinal, least(len(w), 1024) AS n FROM t),
+  r AS (SELECT 0 AS i, 0 AS b, n AS s, n FROM n WHERE ordinal = 0
+    UNION ALL SELECT i + 1, CASE WHEN s + n.n > 4096 THEN b + 1 ELSE b END, CASE WHEN s + n.n > 4096 THEN n.n ELSE s + n.n END, n.n
+    FROM r JOIN n ON ordinal = i + 1)
+  SELECT b AS micro_batch, count(*) AS rows, sum(n)::BIGINT AS tokens, b < (SELECT max(b) FROM r) AS complete FROM r GROUP BY b""")
 def summed_budget_batches(spark, sf):
+    """Batches by summed size over the whole table, none restarted."""
     rows = pack.token_batches(token_rows(spark, sf), 1024, 4, "doc_id")
-    return rows.groupBy("batch_id", "micro_batch", "complete").agg(
+    return rows.groupBy("micro_batch", "complete").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.least(F.size("input_ids"), F.lit(1024))).alias("tokens")
     )
 

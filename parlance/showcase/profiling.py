@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from parlance import adapters as A
 from parlance.operators import pack, profiles as P
 from parlance.operators.encode import tokenize
+from parlance.operators.ordered import cap_openers
 from parlance.showcase import DIALOGUES, query, words_of
 from parlance.showcase.encoding import TOKENS, encoded_dialogues, token_rows
 from parlance.showcase.similarity import norm_sql, shape_sql
@@ -44,6 +45,18 @@ def top_grams(spark, sf):
     return P.top_grams(A.table(spark, sf, "documents"), "lang", "text")
 
 
+@query(f"""WITH RECURSIVE k AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, {OPENER.format('text')} AS o FROM documents),
+  r AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS doc_id, 0 AS total, MAP {{'': 0}} AS held, true AS accepted
+    UNION ALL SELECT k.i, k.doc_id, CASE WHEN full_ THEN total ELSE total + 1 END,
+      CASE WHEN full_ THEN held ELSE map_concat(held, MAP {{k.o: coalesce(held[k.o], 0) + 1}}) END, NOT full_
+    FROM r JOIN k ON k.i = r.i + 1, LATERAL (SELECT total >= 50 AND coalesce(held[k.o], 0) >= 0.05::DOUBLE * total AS full_))
+  SELECT doc_id, accepted FROM r WHERE i > 0""")
+def capped_openers(spark, sf):
+    """Documents in order, each accepted unless its opener already has 5 % of the accepted ones."""
+    rows = cap_openers(A.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", 0.05)
+    return rows.select("doc_id", "accepted")
+
+
 @query("SELECT source, lang, count(*) AS rows FROM documents GROUP BY ALL")
 def label_counts(spark, sf):
     return P.label_counts(A.table(spark, sf, "documents"), "source", "lang")

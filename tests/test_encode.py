@@ -73,15 +73,6 @@ def test_kto_takes_the_previous_answer(spark):
     assert [r["kl_input_ids"] for r in out] == [[1, 30], [2, 10], [3, 20]]
 
 
-def test_dynamic_batches(spark):
-    rows = [(i, [0] * n) for i, n in enumerate([4, 4, 9, 1, 1, 1])]
-    df = pack.with_batches(spark.createDataFrame(rows, "k long, input_ids array<int>"), "k")
-    padded = {r["k"]: (r["micro_batch"], r["complete"]) for r in pack.dynamic_batches(df, 8, 1, "k").collect()}
-    assert padded[0] == padded[1] == (0, True) and padded[2] == (1, True) and padded[5][1] is False
-    summed = {r["k"]: (r["micro_batch"], r["complete"]) for r in pack.token_batches(df, 8, 1, "k").collect()}
-    assert summed[0] == summed[1] == (0, True) and summed[2] == (1, True) and summed[5] == (2, False)
-
-
 def test_prefix_labels_and_pairs(spark):
     df = spark.createDataFrame([([1, 2], [1, 2, 3], 0.5), ([9], [1, 2], 1.0)], "prompt_ids array<int>, full_ids array<int>, loss_weight double")
     good, bad = encode.label_by_prefix(df).collect()
