@@ -39,6 +39,11 @@ def grams(col: Column, n: int = 2) -> Column:
     return gram_set(shape(col), n)
 
 
+def word_bigrams(col: Column) -> Column:
+    """Distinct bigrams of the lower-cased letters and digits."""
+    return F.array_distinct(windows(F.regexp_replace(F.lower(col), NON_WORD, ""), 2))
+
+
 def word_bigrams_or_self(col: Column) -> Column:
     """Distinct bigrams of the lower-cased letters and digits; one letter stands for itself."""
     base = F.regexp_replace(F.lower(col), NON_WORD, "")

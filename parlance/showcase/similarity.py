@@ -70,33 +70,48 @@ def shapes_and_grams(spark, sf):
     )
 
 
-@query(f"""WITH {LINES}, s AS (SELECT line_id, lang, {shape_sql('line')} AS h FROM l), g AS (SELECT line_id, lang, {grams_sql('h', GRAM)} AS g FROM s),
-  z AS (SELECT line_id, len(g) AS n FROM g), x AS (SELECT line_id, lang, unnest(g) AS w FROM g),
-  j AS (SELECT a.line_id AS a, b.line_id AS b, count(*) AS i FROM x a JOIN x b ON a.lang = b.lang AND a.w = b.w AND b.line_id < a.line_id GROUP BY ALL),
-  m AS (SELECT a AS line_id, max(i / (za.n + zb.n - i)::DOUBLE) AS best FROM j JOIN z za ON za.line_id = a JOIN z zb ON zb.line_id = b GROUP BY 1)
-  SELECT l.line_id, coalesce(round(best, 6), 0) AS max_sim FROM l LEFT JOIN m USING (line_id)""")
+def bits_sql(rows: str, key: str, grams: str = "g") -> str:
+    """(key, bits, n): the grams of each row as bits of their number among all grams."""
+    return f"""SELECT {key}, bitstring_agg(p, 0, {VOCABULARY}) AS bits, count(*) AS n FROM (SELECT {key}, unnest({grams}) AS w FROM {rows}) JOIN v USING (w) GROUP BY ALL"""
+
+
+#: Most different grams of a SQL oracle.
+VOCABULARY = 8191
+NUMBERS = "v AS (SELECT w, row_number() OVER () - 1 AS p FROM (SELECT DISTINCT w FROM ({0})))"
+RATIO = "max(bit_count(a.bits & b.bits) / (a.n + b.n - bit_count(a.bits & b.bits))::DOUBLE)"
+
+
+@query(f"""WITH {LINES}, s AS (SELECT line_id, lang, {shape_sql('line')} AS h FROM l), f AS (SELECT lang, h, min(line_id) AS line_id FROM s GROUP BY ALL),
+  g AS (SELECT line_id, lang, {grams_sql('h', 2)} AS g FROM f), {NUMBERS.format('SELECT unnest(g) AS w FROM g')}, b AS ({bits_sql('g', 'line_id, lang')}),
+  m AS (SELECT a.line_id, {RATIO} AS best FROM b a JOIN b ON a.lang = b.lang AND b.line_id < a.line_id GROUP BY 1)
+  SELECT s.line_id, CASE WHEN s.line_id <> f.line_id THEN 1 ELSE coalesce(round(best, 6), 0) END AS max_sim FROM s JOIN f USING (lang, h) LEFT JOIN m ON m.line_id = f.line_id""")
 def similarity_to_earlier(spark, sf):
-    """Every line of every document against all earlier lines of its language."""
-    return S.max_sim_prior(A.lines(spark, sf), "line_id", "line", ["lang"], n=GRAM).select("line_id", F.round("max_sim", 6).alias("max_sim"))
+    """Every line of every document against all earlier lines of its language, by grams of two."""
+    return S.max_sim_prior(A.lines(spark, sf), "line_id", "line", ["lang"]).select("line_id", F.round("max_sim", 6).alias("max_sim"))
+
+
+def to_pool_sql(base: str, grams: str) -> str:
+    return f"""WITH {LINES}, {CASES}, x AS (SELECT case_id, {grams} AS g FROM (SELECT case_id, {base} AS h FROM c)),
+  y AS (SELECT h AS y, {grams} AS g FROM (SELECT DISTINCT {base} AS h FROM l)),
+  {NUMBERS.format('SELECT unnest(g) AS w FROM x UNION ALL SELECT unnest(g) FROM y')}, bx AS ({bits_sql('x', 'case_id')}), b AS ({bits_sql('y', 'y')}),
+  m AS (SELECT case_id, {RATIO} AS best FROM bx a, b GROUP BY 1)"""
 
 
-TO_POOL = f"""WITH {LINES}, {CASES}, a AS (SELECT case_id, {grams_sql('h', GRAM)} AS g FROM (SELECT case_id, {shape_sql('line')} AS h FROM c)),
-  b AS (SELECT line_id, {grams_sql('h', GRAM)} AS g FROM (SELECT line_id, {shape_sql('line')} AS h FROM l)),
-  xa AS (SELECT case_id, len(g) AS n, unnest(g) AS w FROM a), xb AS (SELECT line_id, len(g) AS n, unnest(g) AS w FROM b),
-  j AS (SELECT case_id, line_id, any_value(xa.n) AS na, any_value(xb.n) AS nb, count(*) AS i FROM xa JOIN xb USING (w) GROUP BY ALL),
-  m AS (SELECT case_id, max(i / (na + nb - i)::DOUBLE) AS best FROM j GROUP BY 1)"""
+LETTERS = "regexp_replace(lower(line), '[^\\p{L}\\p{N}]+', '', 'g')"
+LETTER_PAIRS = "list_distinct(list_transform(range(1, length(h)), lambda i: substr(h, i, 2)))"
 
 
-@query(f"""{TO_POOL} SELECT c.case_id, coalesce(best > 0.6, false) AS near FROM c LEFT JOIN m USING (case_id)""")
+@query(f"""{to_pool_sql(LETTERS, LETTER_PAIRS)} SELECT c.case_id, coalesce(best > 0.6, false) AS near, coalesce(round(best, 6), 0) AS max_sim FROM c LEFT JOIN m USING (case_id)""")
 def contamination(spark, sf):
-    """Benchmark lines too close to a line of the training pool."""
-    rows = S.reject_near(A.benchmark_lines(spark, sf), A.lines(spark, sf), "case_id", "line", "line_id", "line", 0.6, GRAM)
-    return rows.select("case_id", "near")
+    """Benchmark lines too close to a line of the training pool, by bigrams of lower-cased letters and digits."""
+    rows = S.reject_near(A.benchmark_lines(spark, sf), A.lines(spark, sf), "case_id", "line", "line_id", "line", 0.6)
+    return rows.select("case_id", "near", F.round("max_sim", 6).alias("max_sim"))
 
 
-@query(f"""{TO_POOL} SELECT c.case_id, coalesce(round(best, 6), 0) AS max_sim FROM c LEFT JOIN m USING (case_id)""")
+@query(f"""{to_pool_sql(shape_sql('line'), grams_sql('h', 2))} SELECT c.case_id, coalesce(round(best, 6), 0) AS max_sim FROM c LEFT JOIN m USING (case_id)""")
 def similarity_to_pool(spark, sf):
-    rows = S.max_sim_to(A.benchmark_lines(spark, sf), A.lines(spark, sf), "case_id", "line", "line_id", "line", n=GRAM)
+    """Benchmark lines against all lines of the documents, by grams of two."""
+    rows = S.max_sim_to(A.benchmark_lines(spark, sf), A.lines(spark, sf), "case_id", "line", "line_id", "line")
     return rows.select("case_id", F.round("max_sim", 6).alias("max_sim"))
 
 
