@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from parlance.functions.text import json_string, norm_text
 from parlance.operators.sampling import shuffled
 from parlance.plans.openjson import mask_tools, rename_arguments
 from parlance.plans.scoring import TASKS, contract_map
+from parlance.session import ensure_checkpoint_dir
 
 # Replies for a tool that is not on offer.
 UNAVAILABLE = {"zh": "说明当前无法处理：{}", "en": "Explain that this can't be handled right now: {}"}
@@ -22,29 +24,37 @@ VARIANTS = ("masked", "drop_used", "drop_unused")
 
 # ---- cases from a pool -----------------------------------------------------------------------------
 
-def compose_cases(atoms: DataFrame, level: int, n: int, seed=0, neg_rate: float = 0.3, rel_rate: float = 0.0,
-                  tries: int = 20) -> DataFrame:
-    """n distinct cases of ``level`` slots: no topic and no flip twice, no repeated combination.
+@dataclass(frozen=True)
+class CasePool:
+    """Atoms ranked once by part and cell, with the cells of each part; draws look up a few places in it."""
 
-    ``atoms``: (id, part, cell, topic, flip) with part positive, negative or relation. Each slot of each candidate
-    case draws ``tries`` hashed picks (part by rate, cell evenly, then a row of the cell); an ordered fold keeps
-    the first pick that fits. Twice the wanted candidates are drawn; a case that cannot be filled drops out.
-    """
-    pool = shuffled(atoms.select("id", "part", "cell", "topic", "flip"), "id", seed, ["part", "cell"], out="place")
+    atoms: DataFrame  # (id, part, cell, topic, flip, place)
+    cells: DataFrame  # (part, cell, cell_no, size, cells)
+
+
+def case_pool(atoms: DataFrame, seed=0) -> CasePool:
+    """``atoms``: (id, part, cell, topic, flip) with part positive, negative or relation."""
+    ensure_checkpoint_dir(atoms.sparkSession)
+    pool = shuffled(atoms.select("id", "part", "cell", "topic", "flip"), "id", seed, ["part", "cell"], out="place").checkpoint()
     sizes = pool.groupBy("part", "cell").agg(F.count(F.lit(1)).alias("size"))
     cells = shuffled(sizes.withColumn("_k", F.concat_ws("|", "part", "cell")), "_k", seed, ["part"], out="cell_no")
-    counts = cells.groupBy("part").agg(F.count(F.lit(1)).alias("cells"))
-    grid = atoms.sparkSession.range(2 * n).select(F.col("id").alias("case_no"), F.explode(
-        F.sequence(F.lit(0), F.lit(level * tries - 1))
+    counts = sizes.groupBy("part").agg(F.count(F.lit(1)).alias("cells"))
+    return CasePool(pool, cells.join(counts, "part").select("part", "cell", "cell_no", "size", "cells").checkpoint())
+
+
+def _candidates(pool: CasePool, level: int, first: int, last: int, seed, neg_rate: float, rel_rate: float, picks: int) -> DataFrame:
+    """(case_no, ids, topics, flips) of the tries from ``first`` to ``last`` that can be filled, one for each combination."""
+    grid = pool.atoms.sparkSession.range(first, last).select(F.col("id").alias("case_no"), F.explode(
+        F.sequence(F.lit(0), F.lit(level * picks - 1))
     ).alias("pick"))
     u = draw_uniform(f"{seed}:part", F.col("case_no"), F.col("pick"))
     part = F.when(u < rel_rate, "relation").when(u < rel_rate + neg_rate, "negative").otherwise("positive")
-    grid = grid.withColumn("part", part).join(counts, "part")
+    grid = grid.withColumn("part", part).join(pool.cells.groupBy("part").agg(F.max("cells").alias("cells")), "part")
     grid = grid.withColumn("cell_no", F.pmod(draw_int(f"{seed}:cell", F.col("case_no"), F.col("pick")), "cells"))
-    grid = grid.join(cells.select("part", "cell", "cell_no", "size"), ["part", "cell_no"])
+    grid = grid.join(pool.cells.select("part", "cell", "cell_no", "size"), ["part", "cell_no"])
     grid = grid.withColumn("place", F.pmod(draw_int(f"{seed}:row", F.col("case_no"), F.col("pick")), "size"))
-    picks = grid.select("case_no", "pick", "part", "cell", "place").join(pool, ["part", "cell", "place"])
-    lists = picks.groupBy("case_no").agg(F.array_sort(F.collect_list(F.struct("pick", "id", "topic", "flip", "part"))).alias("_p"))
+    drawn = grid.select("case_no", "pick", "part", "cell", "place").join(pool.atoms, ["part", "cell", "place"])
+    lists = drawn.groupBy("case_no").agg(F.array_sort(F.collect_list(F.struct("pick", "id", "topic", "flip", "part"))).alias("_p"))
 
     start = F.struct(
         F.array().cast("array<string>").alias("ids"), F.array().cast("array<string>").alias("topics"),
@@ -52,7 +62,7 @@ def compose_cases(atoms: DataFrame, level: int, n: int, seed=0, neg_rate: float
     )
 
     def step(s: Column, p: Column) -> Column:
-        slot = F.floor(p["pick"] / tries).cast("int")
+        slot = F.floor(p["pick"] / picks).cast("int")
         free = ~F.array_contains(s["slots"], slot) & ~F.array_contains(s["topics"], p["topic"])
         free = free & ((p["part"] != "negative") | ~F.array_contains(s["flips"], F.coalesce(p["flip"], F.lit(""))))
         flips = F.when(p["part"] == "negative", F.array_append(s["flips"], F.coalesce(p["flip"], F.lit("")))).otherwise(s["flips"])
@@ -62,14 +72,35 @@ def compose_cases(atoms: DataFrame, level: int, n: int, seed=0, neg_rate: float
         )).otherwise(s)
 
     cases = lists.select("case_no", F.aggregate("_p", start, step).alias("_s")).where(F.size("_s.ids") == level)
-    first = cases.groupBy(F.col("_s.ids").alias("ids")).agg(
+    best = cases.groupBy(F.col("_s.ids").alias("ids")).agg(
         F.min(F.struct("case_no", F.col("_s.topics").alias("topics"), F.col("_s.flips").alias("flips"))).alias("_f")
     )
-    distinct = first.select(
-        F.col("_f.case_no").alias("case_no"), F.lit(level).alias("level"), "ids", F.col("_f.topics").alias("topics"),
-        F.col("_f.flips").alias("flips"),
+    return best.select(F.col("_f.case_no").alias("case_no"), "ids", F.col("_f.topics").alias("topics"), F.col("_f.flips").alias("flips"))
+
+
+def compose_cases(atoms: DataFrame | CasePool, level: int, n: int, seed=0, neg_rate: float = 0.3, rel_rate: float = 0.0,
+                  picks: int = 20, tries: int = 20) -> DataFrame:
+    """n distinct cases of ``level`` slots: no topic and no flip twice, no repeated combination; and ``missing``.
+
+    A try draws ``picks`` hashed picks for each slot (part by rate, cell evenly, then a row of the cell); an ordered fold keeps
+    the first pick that fits. Tries that cannot be filled or repeat a combination are made up for by further ones, drawn for as
+    long as cases are missing and at most ``tries`` * n in all; the earliest tries stay. ``missing`` is by how much the
+    result then falls short of n, the same in every row. Cases may be empty of rows only if no try fits at all.
+    """
+    pool = atoms if isinstance(atoms, CasePool) else case_pool(atoms, seed)
+    ensure_checkpoint_dir(pool.atoms.sparkSession)
+    made = min(2 * n, tries * n)
+    kept = _candidates(pool, level, 0, made, seed, neg_rate, rel_rate, picks).checkpoint()
+    found = kept.count()
+    while found < n and made < tries * n:
+        more = min(2 * made, tries * n)  # as many again, so the rounds are few
+        new = _candidates(pool, level, made, more, seed, neg_rate, rel_rate, picks).join(kept.select("ids"), "ids", "left_anti")
+        kept, made = kept.unionByName(new).checkpoint(), more
+        found = kept.count()
+    numbered = rank_by_int(kept, "case_no", out="_o").where(F.col("_o") < n)
+    return numbered.select(
+        "case_no", F.lit(level).alias("level"), "ids", "topics", "flips", F.lit(max(n - found, 0)).cast("long").alias("missing")
     )
-    return rank_by_int(distinct, "case_no", out="_o").where(F.col("_o") < n).drop("_o")
 
 
 def level_count(level_one: int, share: float, other_levels: int) -> int:
@@ -107,12 +138,14 @@ def challenge_grid(atoms: DataFrame, plan: dict, seed=0, ops: Sequence[str] = ("
     """Specs by category and language: singles dealt over tools or flips, multi-intent cases by level, relation pairs.
 
     ``plan``: e.g. {"zh": {"pos": 60, "neg": 42, "multi": 80, "max_level": 5, "rel": 40}}.
-    ``atoms``: (id, part, cell, topic, flip, tool, value).
+    ``atoms``: (id, part, cell, topic, flip, tool, value). ``missing``: by how many cases a level falls short of its plan. The pool is
+    ranked for the cases once. A relation unit without a fitting partner drops out.
     """
-    out = None
+    out, pool = None, None
 
     def add(rows: DataFrame) -> None:
         nonlocal out
+        rows = rows if "missing" in rows.columns else rows.withColumn("missing", F.lit(0).cast("long"))
         out = rows if out is None else out.unionByName(rows)
 
     for language, want in plan.items():
@@ -139,10 +172,11 @@ def challenge_grid(atoms: DataFrame, plan: dict, seed=0, ops: Sequence[str] = ("
         for level in range(2, levels + 2) if want.get("multi") else ():
             share = want["multi"] // levels + (1 if level - 2 < want["multi"] % levels else 0)
             if share:
-                cases = compose_cases(atoms, level, share, f"{seed}:{language}")
+                pool = pool or case_pool(atoms, seed)
+                cases = compose_cases(pool, level, share, f"{seed}:{language}")
                 add(cases.select(
                     F.lit("multi_intent").alias("category"), F.lit(language).alias("language"),
-                    F.col("case_no").alias("k"), "ids", F.array(F.lit(f"L{level}")).alias("tags"),
+                    F.col("case_no").alias("k"), "ids", F.array(F.lit(f"L{level}")).alias("tags"), "missing",
                 ))
         if want.get("rel"):
             pairs = sample_pairs(atoms.where(F.col("part") == "positive"), want["rel"], f"{seed}:{language}:rel")

@@ -156,7 +156,7 @@ def reviewer_consensus(spark, sf):
 def composed_cases(spark, sf):
     """As many three-slot cases as a tenth of the atoms."""
     atoms = A.atoms(spark, sf)
-    return C.compose_cases(atoms, 3, max(atoms.count() // 10, 1), 1, 0.3).select("case_no", "level", F.array_join("ids", ",").alias("ids"))
+    return C.compose_cases(atoms, 3, max(atoms.count() // 10, 1), 1, 0.3).select("case_no", "level", F.array_join("ids", ",").alias("ids"), "missing")
 
 
 @query()
@@ -171,7 +171,7 @@ def challenge_specs(spark, sf):
     n = max(atoms.count() // 200, 1)
     plan = {"zh": {"pos": n, "neg": n, "multi": n, "max_level": 2, "rel": n}, "en": {"pos": n, "neg": n}}
     rows = C.challenge_grid(atoms, plan, 3)
-    return rows.select("category", "language", "k", F.array_join("ids", ",").alias("ids"), F.array_join("tags", ",").alias("tags"))
+    return rows.select("category", "language", "k", F.array_join("ids", ",").alias("ids"), F.array_join("tags", ",").alias("tags"), "missing")
 
 
 @query(f"""WITH x AS (SELECT event_id, event_type || ' ' || (props->>'$.k') AS q, CASE (event_id % 3) WHEN 0 THEN 'before' WHEN 1 THEN 'count' ELSE 'only' END AS op, event_id % 4 + 1 AS n FROM events),

@@ -148,6 +148,21 @@ def test_composition_constraints(spark, sf):
         assert topic[str(r["a"])][0] != topic[str(r["b"])][0] and topic[str(r["a"])][1] != topic[str(r["b"])][1]
 
 
+def test_cases_are_refilled(spark):
+    """Small pools: n cases wherever 20 n tries find them, else a stated shortfall; none repeats, topic or flip."""
+    def atoms(n):
+        return spark.createDataFrame([(i, "positive", f"c{i % 3}", f"t{i}", None) for i in range(n)], "id long, part string, cell string, topic string, flip string")
+
+    six = compose.case_pool(atoms(6))
+    for want, found in ((28, 28), (45, 30)):  # 6 * 5 ordered pairs
+        rows = compose.compose_cases(six, 2, want, 1, 0.0).collect()
+        assert len(rows) == found == len({tuple(r.ids) for r in rows}) and {r.missing for r in rows} == {want - found}
+        assert all(len(set(r.topics)) == 2 for r in rows)
+    rows = compose.compose_cases(atoms(40), 2, 1100, 1, 0.0).collect()
+    assert len(rows) == 1100 == len({tuple(r.ids) for r in rows}) and {r.missing for r in rows} == {0}
+    assert [r.case_no for r in rows] != sorted(range(1100)) and compose.compose_cases(six, 7, 3, 1, 0.0).collect() == []
+
+
 def test_variants_revalidate(spark, sf):
     from parlance.showcase.composing import tool_rows
 
