@@ -46,7 +46,10 @@ MAIN = frozenset("article main content post entry story body text prose".split()
 PATH_SLOTS, WORD_SLOTS, SHAPES = 96, 48, 6
 WIDTH = PATH_SLOTS + WORD_SLOTS + SHAPES
 HIDDEN_UNITS = 24
+#: Of the pages to fit on: their number, the size above which others are preferred, the consecutive blocks taken of a page.
 FIT_PAGES, FIT_BYTES, FIT_BLOCKS = 160, 100_000, 400
+#: Blocks, padding included, that are labelled together, and those turned into vectors at once.
+STEPS, CHUNK = 20_000, 4_096
 Block = tuple[tuple[str, ...], str, float]  # names on the path, text, share of it inside links
 
 
@@ -156,6 +159,9 @@ def _slot(word: str, slots: int) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % slots
 
 
+POWERS = np.array([pow(0x01000193, i + 1, 1 << 31) for i in range(32)], dtype=np.int64)
+
+
 class Features:
     """Vectors of blocks; slots of path names and of words are remembered, KEEP of them at most."""
 
@@ -176,23 +182,36 @@ class Features:
             self.paths[names] = known
         return known
 
-    def matrix(self, page: list[Block]) -> np.ndarray:
-        out = np.zeros((len(page), WIDTH), dtype=np.float32)
-        for i, (names, text, linked) in enumerate(page):
-            out[i, :PATH_SLOTS] = self.path(names)
+    def matrix(self, page: list[Block], low: int = 0, high: int | None = None) -> np.ndarray:
+        """Vectors of the blocks from ``low`` to ``high`` of a page."""
+        part = page[low:high]
+        out = np.zeros((len(part), WIDTH), dtype=np.float32)
+        for at, (names, text, linked) in enumerate(part):
+            i = low + at
+            out[at, :PATH_SLOTS] = self.path(names)
             data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
             starts = np.flatnonzero(data == 32)
             ends = np.append(starts, len(data))
             starts = np.append(0, starts + 1)
-            # a word's slot comes from its first and last byte and its length
-            slots = (data[starts].astype(np.int64) * 31 + data[np.maximum(ends - 1, 0)] * 7 + (ends - starts)) % WORD_SLOTS
+            # a word's slot is a polynomial of its bytes
+            inside = np.arange(len(data)) - np.repeat(starts, np.append(starts[1:], len(data)) - starts)
+            sums = np.add.reduceat(data * POWERS[inside % len(POWERS)], np.minimum(starts, len(data) - 1)) if len(data) else np.zeros(1, dtype=np.int64)
+            slots = (sums ^ (sums >> 15)) % WORD_SLOTS
             count = len(starts)
-            out[i, PATH_SLOTS:PATH_SLOTS + WORD_SLOTS] = np.bincount(slots, minlength=WORD_SLOTS) / count
-            out[i, -SHAPES:] = (
+            out[at, PATH_SLOTS:PATH_SLOTS + WORD_SLOTS] = np.bincount(slots, minlength=WORD_SLOTS) / count
+            out[at, -SHAPES:] = (
                 np.log1p(count) / 5, linked, text[-1:] in ".!?", i / len(page), (len(page) - i) / len(page), 1.0
             )
         return out
 
+    def parts(self, page: list[Block]) -> Iterator[np.ndarray]:
+        for low in range(0, len(page), CHUNK):
+            yield self.matrix(page, low, low + CHUNK)
+
+
+def _parts(page) -> Iterator[np.ndarray]:
+    return iter([page]) if isinstance(page, np.ndarray) else page
+
 
 class Labeller:
     """Bidirectional LSTM with one logistic output per block; forward, and training by gradients through time."""
@@ -241,17 +260,25 @@ class Labeller:
             back[:len(p), i] = p[::-1]
         return ahead, back, np.arange(steps)[:, None] < lengths[None, :]
 
-    def scores(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """Log-odds of main text for each block of each page."""
+    def scores(self, pages: list) -> list[np.ndarray]:
+        """Log-odds of main text for each block of each page.
+
+        A page is a matrix of block vectors, or yields it in parts; only what the gates take of a part is held for all blocks.
+        """
         if not pages:
             return []
-        ahead, back, _ = self._batch(pages)
         w = self.weights
-        f = self._scan(ahead @ w["xf"] + w["cf"], "f", None)
-        b = self._scan(back @ w["xb"] + w["cb"], "b", None)
-        return [
-            (np.hstack([f[:len(p), i], b[:len(p), i][::-1]]) @ w["o"] + w["p"])[:, 0] for i, p in enumerate(pages)
-        ]
+        taken = [[np.concatenate(x) for x in zip(*[(p @ w["xf"] + w["cf"], p @ w["xb"] + w["cb"]) for p in _parts(page)])] for page in pages]
+        lengths, kind = [len(f) for f, _ in taken], taken[0][0].dtype
+        scans = []
+        for k, way in enumerate("fb"):
+            inputs = np.zeros((max(lengths), len(pages), 4 * self.hidden), dtype=kind)
+            for i, both in enumerate(taken):
+                inputs[:lengths[i], i] = both[k][::-1] if k else both[k]
+                both[k] = None
+            scans.append(self._scan(inputs, way, None))
+        f, b = scans
+        return [(np.hstack([f[:n, i], b[:n, i][::-1]]) @ w["o"] + w["p"])[:, 0] for i, n in enumerate(lengths)]
 
     def _gradients(self, pages: list[np.ndarray], labels: list[np.ndarray]) -> dict[str, np.ndarray]:
         ahead, back, mask = self._batch(pages)
@@ -340,13 +367,13 @@ def tag_label(names: tuple[str, ...]) -> bool:
     return not BOILERPLATE.intersection(names) and bool(MAIN.intersection(n for n in names if n != "body"))
 
 
-def training_set(pages: list[str], seed: int = 3) -> tuple[list[list[Block]], list[np.ndarray]]:
+def training_set(pages: list[list[Block]], seed: int = 3) -> tuple[list[list[Block]], list[np.ndarray]]:
     """Each page as it is, and twice with its article under another holder and sections mixed in."""
     rng = np.random.default_rng(seed)
     out, labels = [], []
     pool: list[str] = []
     for page in pages:
-        own = blocks(page)[:FIT_BLOCKS]
+        own = page
         if not own:
             continue
         marks = [tag_label(n) for n, _, _ in own]
@@ -379,7 +406,7 @@ def training_set(pages: list[str], seed: int = 3) -> tuple[list[list[Block]], li
     return out, labels
 
 
-def train(pages: list[str], seed: int = 5) -> Labeller:
+def train(pages: list[list[Block]], seed: int = 5) -> Labeller:
     labeller = Labeller(seed)
     chosen, labels = training_set(pages)
     features = Features()
@@ -388,19 +415,52 @@ def train(pages: list[str], seed: int = 5) -> Labeller:
     return labeller
 
 
+def fit_windows(rows: DataFrame, fit_pages: int, fit_bytes: int, fit_blocks: int) -> list[list[Block]]:
+    """Blocks of the pages to fit on, equal pages once: those of at most ``fit_bytes`` bytes by hash, then the smallest of the others.
+
+    A page gives at most ``fit_blocks`` consecutive blocks from a hashed place on, and as many as ``fit_bytes`` bytes of text hold.
+    """
+    sized = rows.where(F.octet_length("html") > 0).select("html", F.octet_length("html").alias("size"), F.xxhash64("html").alias("hash"))
+    over = F.greatest(F.col("size") - fit_bytes, F.lit(0))
+    chosen = sized.select(over.alias("over"), "size", "hash").distinct().orderBy("over", "hash", "size").limit(fit_pages)
+    pages = sized.join(F.broadcast(chosen.select("size", "hash")), ["size", "hash"]).groupBy("size", "hash").agg(F.min("html").alias("html"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hash_, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                page = blocks(html)
+                start = hash_ % max(1, len(page) - fit_blocks + 1)
+                names, texts, linked, left = [], [], [], fit_bytes
+                for n, t, x in page[start:start + fit_blocks]:
+                    left -= len(t)
+                    if left < 0 and texts:
+                        break
+                    names.append(list(n))
+                    texts.append(t[:fit_bytes])
+                    linked.append(x)
+                kinds = (pa.list_(pa.list_(pa.string())), pa.list_(pa.string()), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([hash_]), *[pa.array([v], k) for v, k in zip((names, texts, linked), kinds)]], names=["hash", "names", "texts", "linked"]
+                )
+
+    told = pages.select("hash", "html").mapInArrow(run, "hash long, names array<array<string>>, texts array<string>, linked array<double>")
+    return [
+        [(tuple(n), t, x) for n, t, x in zip(r.names, r.texts, r.linked)] for r in sorted(told.collect(), key=lambda r: (r.hash, r.texts))
+    ]
+
+
 def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", fit_pages: int = FIT_PAGES,
-              fit_bytes: int = FIT_BYTES, seed: int = 5) -> DataFrame:
+              fit_bytes: int = FIT_BYTES, seed: int = 5, fit_blocks: int = FIT_BLOCKS) -> DataFrame:
     """One row per row of ``df``: key, url, text (empty if none), n_chars.
 
-    The network is fitted on the first ``fit_pages`` pages by the hash of their key among those of at most ``fit_bytes``
-    bytes; every block of every page is labelled. A null page is an empty one; without any page to fit on nothing is
-    labelled main text. Repeated rows come back as often as they went in; other columns are not read.
+    The network is fitted on at most ``fit_pages`` pages, see ``fit_windows``; every block of every page is labelled, pages of
+    any size and key. A null page is an empty one; empty pages alone give nothing to fit on and have no text. Pages
+    are labelled together as far as ``STEPS`` blocks go, a longer one alone, its vectors made in parts. Repeated rows come back as
+    often as they went in; other columns are not read.
     """
     rows = df.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    fitting = rows.where(F.octet_length("html").between(1, fit_bytes))
-    ids = fitting.select("key").where("key IS NOT NULL").distinct().orderBy(F.xxhash64("key"), "key").limit(fit_pages)
-    sample = fitting.join(F.broadcast(ids), "key").select("key", "html").orderBy("key", "html").limit(fit_pages).collect()
-    weights = train([r["html"] for r in sample], seed).weights if sample else None
+    sample = fit_windows(rows.select("html"), fit_pages, fit_bytes, fit_blocks)
+    weights = train(sample, seed).weights if any(sample) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller, features = Labeller(seed), Features()
@@ -412,9 +472,10 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str =
                 order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
                 texts = [""] * len(pages)
                 if weights is not None:
-                    for low in range(0, len(order), 32):  # pages of like length share a batch
-                        chosen = order[low:low + 32]
-                        scores = labeller.scores([features.matrix(pages[i]) for i in chosen])
+                    while order:  # pages of like length share a batch, the longest go first
+                        most = max(1, min(32, STEPS // len(pages[order[-1]])))
+                        chosen, order = order[-most:], order[:-most]
+                        scores = labeller.scores([features.parts(pages[i]) for i in chosen])
                         for i, s in zip(chosen, scores):
                             texts[i] = " ".join(b[1] for b, v in zip(pages[i], s.tolist()) if v > 0)
                 yield pa.RecordBatch.from_arrays(

@@ -506,3 +506,32 @@ def test_exact_duplicates(docs_of, odd_rows):
             assert all(r[1] == least and r[2] == len(ids) for r in own)
             assert [r[0] for r in own if r[3]] == [least]
     assert rows_of(exactdup.exact_duplicates(docs_of([]))) == []
+
+
+PAGES = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())])
+
+
+@pytest.mark.parametrize("large, null_keys", [(True, False), (False, True)])
+def test_main_text_is_fitted_on_any_pages(spark, large, null_keys):
+    """Pages above the preferred size only, and null keys only: no page loses its article."""
+    rng = random.Random(14)
+    rows, want = [], []
+    for i in range(24):
+        words = [f"w{rng.randrange(999)}" for _ in range(400 if large else 30)]
+        paragraphs = [" ".join(words[:20 + 10 * (j % 3)]) + "." for j in range(6)]
+        rows.append((None if null_keys else i, "u", plain_page(i, "".join(f"<p>{p}</p>" for p in paragraphs))))
+        want.append(" ".join([f"Head {i}", *paragraphs]))
+    got = rows_of(extraction.main_text(spark.createDataFrame(rows, PAGES), fit_bytes=500 if large else extraction.FIT_BYTES))
+    assert len(got) == 24 and len({t for *_, t, _ in got} & set(want)) >= 22
+
+
+def test_long_pages_are_labelled_in_parts():
+    rng = np.random.default_rng(15)
+    net = extraction.Labeller(hidden=4)
+    page = [(("html", "body", "p"), f"word{i} x{i % 7}", 0.0) for i in range(9000)]
+    features = extraction.Features()
+    whole = net.scores([features.matrix(page)])[0]
+    assert np.allclose(net.scores([features.parts(page)])[0], whole, atol=1e-5)
+    short = [rng.standard_normal((n, extraction.WIDTH)).astype(np.float32) for n in (5, 1)]
+    together = net.scores(short)
+    assert all(np.allclose(net.scores([p])[0], s, atol=1e-5) for p, s in zip(short, together))
