@@ -12,7 +12,6 @@ from parlance.plans.scoring import plan_signature, signature_seen
 from parlance.showcase import query
 
 EDGES = "'。.!！？?，,、；;：: ' || chr(9) || chr(10)"
-GRAM = 8
 
 
 def norm_sql(text: str) -> str:
@@ -117,8 +116,8 @@ def similarity_to_pool(spark, sf):
 
 @query()
 def greedy_novelty(spark, sf):
-    """Rows a greedy pass over the lines of a language keeps, per threshold."""
-    return S.greedy_novel(A.lines(spark, sf), "line_id", "line", ["lang"], n=GRAM)
+    """Lines that a greedy pass over a language keeps, per threshold, by grams of two."""
+    return S.greedy_novel(A.lines(spark, sf), "line_id", "line", ["lang"])
 
 
 def clauses_sql(key: str, source: str) -> str:

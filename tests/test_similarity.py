@@ -144,3 +144,29 @@ def test_reject_near_takes_letters_and_digits(spark):
     pool = spark.createDataFrame([(1, "turn-left... 90"), (2, "b")], "k long, t string")
     got = {r.k: (r.near, round(r.max_sim, 4)) for r in S.reject_near(df, pool, "k", "t", "k", "t").collect()}
     assert got == {1: (True, 1.0), 2: (True, 0.6364), 3: (False, 0.0), 4: (False, 0.0), 5: (False, 0.0)}
+
+
+def test_greedy_novelty_in_rounds(spark, monkeypatch):
+    """Few rows decided a round, many lost bits, a cluster of near copies; against a plain pass."""
+    import random
+
+    from parlance.operators import nearest
+
+    monkeypatch.setattr(nearest, "HEAD_ROWS", 7)
+    monkeypatch.setattr(nearest, "NAMED", 1010)
+    rng = random.Random(3)
+    base = "the quick brown fox jumps over the lazy dog near a river bank"
+    texts = []
+    for _ in range(300):
+        at = rng.randrange(len(base))
+        texts.append(base[:at] + rng.choice("xyzw") + base[at + 1:] if rng.random() < 0.7 else "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 25))))
+    df = spark.createDataFrame([(i, f"g{i % 2}", t) for i, t in enumerate(texts)], "k long, g string, t string")
+    got = {(r.g, r.tau): r.novel for r in S.greedy_novel(df, "k", "t", ["g"], taus=(0.3, 0.6)).collect()}
+    for g in (0, 1):
+        for tau in (0.3, 0.6):
+            kept = []
+            for t in texts[g::2]:
+                own = grams(t)
+                if all(jac(own, k) < tau for k in kept):
+                    kept.append(own)
+            assert got[f"g{g}", tau] == len(kept)
