@@ -9,7 +9,7 @@ from parlance.operators import screening as Q
 from parlance.operators.checks import assert_roles
 from parlance.plans import compose as C
 from parlance.plans import labels as L
-from parlance.showcase import draw_of, md5_of, query
+from parlance.showcase import DIALOGUES, draw_of, md5_of, query
 from parlance.showcase.similarity import norm_sql
 from parlance.sources import sinks
 
@@ -229,7 +229,10 @@ def release_manifest(spark, sf):
     return sinks.manifest(train, val, "1.0", 5).select("section", "name", "rows")
 
 
-@query()
+@query(f"""WITH {DIALOGUES}, r AS (SELECT h, h || ':' || count(*) AS e FROM (SELECT sha256(to_json({{'messages': m}})::VARCHAR) AS h FROM d) GROUP BY h),
+  a AS (SELECT substr(h, 1, 4) AS p, sha256(string_agg(e, ',' ORDER BY e)) AS d FROM r GROUP BY 1),
+  b AS (SELECT substr(p, 1, 2) AS p, sha256(string_agg(p || '=' || d, ',' ORDER BY p)) AS d FROM a GROUP BY 1)
+  SELECT sha256(string_agg(p || '=' || d, ',' ORDER BY p)) AS digest FROM b""")
 def content_digest(spark, sf):
     return sinks.content_digest(A.dialogues(spark, sf))
 

@@ -56,17 +56,23 @@ def split_accept_reject(df: DataFrame, issues: str = "issues") -> tuple[DataFram
     return df.where(clean).drop(issues), df.where(~clean)
 
 
-def content_digest(df: DataFrame, column: str = "messages") -> DataFrame:
-    """One row: a digest of a table's content that does not depend on row order.
+def content_digest(df: DataFrame, column: str = "messages", digits: int = 4) -> DataFrame:
+    """One row: the root of a hash tree over a table's rows, the same for any order and partitioning.
 
-    Row hashes are summed per 32-bit quarter (a commutative fold with map-side combine), so no task sees all rows.
+    A row is the SHA-256 of its JSON. Equal rows are one entry with their number, so a row held by a third of the table is
+    merged before the shuffle. Entries lie under the first ``digits`` hex digits of their hash, which are spread evenly:
+    take one digit more for each 16 times as many rows. A node is the digest of its entries in order, its parent of two
+    digits less the digest of its nodes, up to the root. Any row that is changed, added or left out changes the root.
     """
-    row = F.sha2(F.to_json(F.struct(column)), 256)
-    quarters = [
-        F.sum(F.conv(F.substring(row, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")).alias(f"q{i}") for i in range(8)
-    ]
-    folded = df.agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n"), *quarters)
-    return folded.select(F.sha2(F.concat_ws(":", "n", *[f"q{i}" for i in range(8)]), 256).alias("digest"))
+    row = F.sha2(F.to_json(F.struct(column), {"ignoreNullFields": "false"}), 256)
+    nodes = df.select(row.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.substring("_h", 1, digits).alias("_at"), F.concat_ws(":", "_h", "_n").alias("_h")
+    )
+    for left in [*range(digits - 2, 0, -2), 0]:
+        runs = nodes.groupBy("_at").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_h")), ","), 256).alias("_d"))
+        # sorted with its place, a node's digest stays where its digits put it
+        nodes = runs.select(F.substring("_at", 1, left).alias("_at"), F.concat_ws("=", "_at", "_d").alias("_h"))
+    return nodes.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_h")), ","), 256).alias("digest"))
 
 
 def release_tables(df: DataFrame, key: str, val_size: int = 1000, min_level: int = 2, seed: int = 0,

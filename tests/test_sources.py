@@ -74,3 +74,20 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = drop_invalid(align(spark.read.schema(schema).json(str(src)), spec, ["id"]), "sft")
     key = lambda d: sorted((r["id"], r["_response"][0]["content"]) for r in d.collect())
     assert key(spark.read.parquet(out)) == key(batch) and len(key(batch)) == 20
+
+
+def test_content_digest(spark):
+    """The same for any order and partitioning; another for any changed, added or missing row, and for swapped values."""
+    rows = [(i, f"text {i % 90}", None if i % 5 else "x") for i in range(400)]
+
+    def digest(rows, parts=3, digits=4):
+        df = spark.createDataFrame(rows, "k long, t string, n string").select(F.struct("k", "t", "n").alias("messages"))
+        return sinks.content_digest(df.repartition(parts), digits=digits).first()["digest"]
+
+    base = digest(rows)
+    assert digest(rows[::-1], 7) == base and digest(rows, 1) == base
+    swapped = [(0, rows[1][1], rows[0][2]), (1, rows[0][1], rows[1][2]), *rows[2:]]
+    others = [rows[1:], [*rows, rows[0]], [(0, "text 0", ""), *rows[1:]], swapped, [*rows, rows[0], rows[0]]]
+    found = [digest(r) for r in others]
+    assert len({base, *found}) == 1 + len(others)
+    assert digest(rows, 5, 3) == digest(rows, 2, 3) != base and len(digest([])) == 64
