@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from parlance.functions.hashing import draw
 from parlance.functions.text import let
-from parlance.functions.udfs import batch_udf
 from parlance.plans.openjson import leaf_udf, schema_udf
 from parlance.plans.rules import DEFAULT_RULES, PlanRules
 
@@ -287,36 +286,48 @@ def score_strict(df: DataFrame, contract: DataFrame, expected: str = "expected",
     )
 
 
-@batch_udf("array<int>")
-def align_slots(slots: pd.Series, calls: pd.Series, matches: pd.Series, blocked: pd.Series) -> pd.Series:
+#: A partial alignment: argument matches, which slots hold a call, and which call. Compared in this order.
+ALIGNMENT = "struct<score:int,used:array<int>,picks:array<int>>"
+
+
+def align_slots(slots: Column, calls: Column, matches: Column, blocked: Column) -> Column:
     """Per expected slot the index of its call, -1 for none; null when no alignment exists.
 
-    A tool slot takes the call of its name; a reply slot may be skipped, or take a call that is not blocked when
-    there is a block list. Most argument matches win, then the assignment that uses earlier slots.
+    All calls are taken in order, one a slot. A tool slot takes a call of its name; a reply slot (empty name) stays empty, or takes a
+    call that is not blocked when there is a block list. Most argument matches win, then the earliest slots used.
+
+    A fold over the slots holds, for each number of calls taken so far, the best alignment that took them. What
+    comes later is open to all of these alike, so a worse one can be dropped.
     """
+    count = F.size(calls)
+    none = F.lit(None).cast(ALIGNMENT)
+    empty = F.array().cast("array<int>")
+
+    def longer(before: Column, points: Column, pick: Column) -> Column:
+        return F.struct(
+            (before["score"] + points).alias("score"), F.array_append(before["used"], (pick >= 0).cast("int")).alias("used"),
+            F.array_append(before["picks"], pick).alias("picks"),
+        ).cast(ALIGNMENT)
+
+    def step(best: Column, slot: Column) -> Column:
+        reply = slot["name"] == ""
+
+        def after(taken: Column) -> Column:
+            call, stays, comes = F.get(calls, taken - 1), F.get(best, taken), F.get(best, taken - 1)
+            fits = F.when(reply, (F.size(blocked) > 0) & ~F.array_contains(blocked, call)).otherwise(slot["name"] == call)
+            points = F.when(~reply & F.coalesce(F.get(slot["match"], taken - 1), F.lit(False)), 1).otherwise(0)
+            return F.greatest(
+                F.when(reply & stays.isNotNull(), longer(stays, F.lit(0), F.lit(-1))).otherwise(none),
+                F.when(comes.isNotNull() & fits, longer(comes, points, taken - 1)).otherwise(none),
+            )
 
-    def one(want, got, match, stop):
-        want, got, stop = list(want), list(got), set(stop)
-        best = {(len(want), len(got)): (0, (), ())}
-        for i in range(len(want) - 1, -1, -1):
-            for j in range(len(got), -1, -1):
-                found = []
-                take = best.get((i + 1, j + 1)) if j < len(got) else None
-                if want[i]:
-                    if take is not None and want[i] == got[j]:
-                        found.append((take[0] + int(match[i][j]), (True, *take[1]), (j, *take[2])))
-                else:
-                    skip = best.get((i + 1, j))
-                    if skip is not None:
-                        found.append((skip[0], (False, *skip[1]), (-1, *skip[2])))
-                    if take is not None and stop and got[j] not in stop:
-                        found.append((take[0], (True, *take[1]), (j, *take[2])))
-                if found:
-                    best[(i, j)] = max(found, key=lambda f: f[:2])
-        done = best.get((0, 0))
-        return None if done is None else list(done[2])
-
-    return pd.Series([one(*x) for x in zip(slots, calls, matches, blocked)])
+        return F.transform(F.sequence(F.lit(0), count), after)
+
+    start = F.struct(F.lit(0).alias("score"), empty.alias("used"), empty.alias("picks")).cast(ALIGNMENT)
+    zipped = F.zip_with(slots, matches, lambda name, match: F.struct(name.alias("name"), match.alias("match")))
+    return F.aggregate(
+        zipped, F.concat(F.array(start), F.array_repeat(none, count)), step, lambda best: F.get(best, count)["picks"]
+    )
 
 
 def _plain(name: Column) -> Column:
@@ -364,7 +375,7 @@ def score_compatible(df: DataFrame, contract: DataFrame, expected: str = "expect
 
     matrix = F.transform(want, lambda t, i: F.transform("_tools", lambda z: F.size(errors_of(i, z, t)) == 0))
     parsed = parsed.withColumn("_match", matrix).withColumn(
-        "_align", align_slots("_slots", "_got", "_match", "_block")
+        "_align", align_slots(F.col("_slots"), F.col("_got"), F.col("_match"), F.col("_block"))
     )
     # calls beyond the expected ones of their name are violations when forbidden, or when nothing is allowed extra
     surplus = F.filter(

@@ -210,3 +210,34 @@ def test_masking_rebuilds_the_schema():
         "required": ["p", "q"], "x": [], "enum": ["a"]})
     taken: set = set()
     assert len({_fresh("s", "n", taken) for _ in range(5)}) == 5
+
+
+def test_align_slots(spark):
+    """Every allowed assignment by hand: most matches, then earliest slots."""
+    import itertools
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    rows = []
+    for k in range(300):
+        slots = [rng.choice(["", "a", "b"]) for _ in range(rng.randrange(5))]
+        calls = [rng.choice("abc") for _ in range(rng.randrange(4))]
+        rows.append((k, slots, calls, [[rng.random() < 0.5 for _ in calls] for _ in slots], rng.choice([[], ["c"], ["a", "x"]])))
+
+    def plain(slots, calls, match, blocked):
+        found = []
+        for places in itertools.combinations(range(len(slots)), len(calls)):
+            picks = [-1] * len(slots)
+            for j, i in enumerate(places):
+                picks[i] = j
+            if all(
+                (j >= 0 and s == calls[j]) if s else j < 0 or (blocked and calls[j] not in blocked) for s, j in zip(slots, picks)
+            ):
+                found.append((sum(match[i][j] for i, (s, j) in enumerate(zip(slots, picks)) if s), [j >= 0 for j in picks], picks))
+        return max(found)[2] if found else None
+
+    df = spark.createDataFrame(rows, "k int, s array<string>, c array<string>, m array<array<boolean>>, b array<string>")
+    got = {r.k: r.x for r in df.select("k", scoring.align_slots(F.col("s"), F.col("c"), F.col("m"), F.col("b")).alias("x")).collect()}
+    assert got == {k: plain(*rest) for k, *rest in rows} and sum(x is not None for x in got.values()) > 40
