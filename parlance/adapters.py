@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parlance.functions.hashing import draw_int
@@ -81,12 +82,23 @@ def benchmark_lines(spark, sf) -> DataFrame:
 
 
 def predictions(spark, sf) -> DataFrame:
-    """(pair_id, predict, label): each document against the first document starting with the same 40 characters."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", F.substring("text", 1, 40).alias("head"))
-    first = docs.groupBy("head").agg(F.min(F.struct("doc_id", "text")).alias("f"))
-    return docs.join(first, "head").where(F.col("doc_id") > F.col("f.doc_id")).select(
-        F.col("doc_id").alias("pair_id"), F.col("text").alias("predict"), F.col("f.text").alias("label")
+    """(pair_id, predict, label): each document against the one before it in its language (the first against the last), and each
+    assistant turn against the turn before it."""
+    from parlance.functions.ranks import rank_by_int
+
+    docs = rank_by_int(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id", ["lang"])
+    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    labels = docs.join(counts, "lang").select("lang", ((F.col("ordinal") + 1) % F.col("n")).alias("ordinal"), F.col("text").alias("label"))
+    first = docs.join(labels, ["lang", "ordinal"]).select(
+        F.concat(F.lit("doc:"), F.col("doc_id")).alias("pair_id"), F.col("text").alias("predict"), "label"
+    )
+    # turns of a dialogue are few and lie together
+    before = W.partitionBy("conv_id").orderBy("turn")
+    turns = table(spark, sf, "conversations").withColumn("label", F.coalesce(F.lag("text").over(before), F.lit("")))
+    second = turns.where("role = 'assistant'").select(
+        F.concat(F.lit("turn:"), F.col("conv_id"), F.lit(":"), F.col("turn")).alias("pair_id"), F.col("text").alias("predict"), "label"
     )
+    return first.unionByName(second)
 
 
 def results(spark, sf) -> DataFrame:

@@ -10,8 +10,10 @@ from parlance.plans import scoring as P
 from parlance.plans import textmetrics as T
 from parlance.showcase import draw_of, md5_of, query, words_of
 
-PRED = """h AS (SELECT substr(text, 1, 40) AS head, arg_min(text, doc_id) AS first, min(doc_id) AS f FROM documents GROUP BY 1),
-  p AS (SELECT doc_id AS pair_id, text AS predict, first AS label FROM documents JOIN h ON substr(text, 1, 40) = head WHERE doc_id > f)"""
+PRED = """p AS (SELECT 'doc:' || doc_id AS pair_id, text AS predict, coalesce(lag(text) OVER (PARTITION BY lang ORDER BY doc_id),
+    last_value(text) OVER (PARTITION BY lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS label FROM documents
+  UNION ALL SELECT 'turn:' || conv_id || ':' || turn, text, label FROM (
+    SELECT *, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS label FROM conversations) WHERE role = 'assistant')"""
 
 
 def _ngrams(text: str, n: int) -> str:
@@ -22,12 +24,15 @@ def _side(column: str, mark: int) -> str:
     return " UNION ALL ".join(f"SELECT pair_id, {n} AS n, {mark} AS m, unnest({_ngrams(column, n)}) AS g FROM p" for n in range(1, 5))
 
 
-@query(f"""WITH {PRED}, x AS ({_side('predict', 1)} UNION ALL {_side('label', 0)}), c AS (SELECT pair_id, n, g, sum(m) AS h, sum(1 - m) AS r FROM x GROUP BY ALL),
+BLEU_SQL = f"""WITH {PRED}, x AS ({_side('predict', 1)} UNION ALL {_side('label', 0)}), c AS (SELECT pair_id, n, g, sum(m) AS h, sum(1 - m) AS r FROM x GROUP BY ALL),
   k AS (SELECT pair_id, n, sum(least(h, r)) AS hit, greatest(sum(h), 1) AS total FROM c GROUP BY ALL),
   z AS (SELECT *, sum(CASE WHEN hit = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY pair_id ORDER BY n) AS zeros FROM k),
   b AS (SELECT pair_id, sum(0.25 * ln(CASE WHEN hit = 0 THEN 1 / (pow(2, zeros) * total) ELSE hit / total::DOUBLE END)) AS logs, max(CASE WHEN n = 1 THEN hit END) AS first FROM z GROUP BY 1)
   SELECT pair_id, round(CASE WHEN first = 0 THEN 0 ELSE CASE WHEN length(predict) > length(label) THEN 1 ELSE exp(1 - length(label) / length(predict)::DOUBLE) END * exp(logs) END * 100, 4) AS bleu_4
-  FROM b JOIN p USING (pair_id)""")
+  FROM b JOIN p USING (pair_id)"""
+
+
+@query(BLEU_SQL)
 def text_bleu(spark, sf):
     return T.bleu4(A.predictions(spark, sf), "pair_id")
 
@@ -36,15 +41,28 @@ def _pairs_of(w: str) -> str:
     return f"CASE WHEN len({w}) >= 2 THEN list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1])) ELSE [] END"
 
 
-@query(f"""WITH {PRED}, w AS (SELECT pair_id, {words_of('predict')} AS a, {words_of('label')} AS b FROM p),
+ROUGE_SQL = f"""WITH {PRED}, w AS (SELECT pair_id, {words_of('predict')} AS a, {words_of('label')} AS b FROM p),
   g AS (SELECT pair_id, list_distinct(a) AS a1, list_distinct(b) AS b1, {_pairs_of('a')} AS a2, {_pairs_of('b')} AS b2 FROM w),
   s AS (SELECT pair_id, len(list_intersect(a1, b1)) AS h1, len(a1) AS p1, len(b1) AS r1, len(list_intersect(a2, b2)) AS h2, len(a2) AS p2, len(b2) AS r2 FROM g)
   SELECT pair_id, round(coalesce(2 * (h1 / nullif(p1, 0)) * (h1 / nullif(r1, 0)) / (h1 / nullif(p1, 0) + h1 / nullif(r1, 0) + 1e-8), 0) * 100, 4) AS rouge_1,
-  round(coalesce(2 * (h2 / nullif(p2, 0)) * (h2 / nullif(r2, 0)) / (h2 / nullif(p2, 0) + h2 / nullif(r2, 0) + 1e-8), 0) * 100, 4) AS rouge_2 FROM s""")
+  round(coalesce(2 * (h2 / nullif(p2, 0)) * (h2 / nullif(r2, 0)) / (h2 / nullif(p2, 0) + h2 / nullif(r2, 0) + 1e-8), 0) * 100, 4) AS rouge_2 FROM s"""
+
+
+@query(ROUGE_SQL)
 def text_rouge(spark, sf):
     return T.rouge_scores(A.predictions(spark, sf), "pair_id", lcs=False)
 
 
+@query(f"""SELECT round(avg(bleu_4), 3) AS bleu_4, round(avg(rouge_1), 3) AS rouge_1, round(avg(rouge_2), 3) AS rouge_2, count(*) AS rows
+  FROM ({BLEU_SQL}) JOIN ({ROUGE_SQL}) USING (pair_id)""")
+def text_means(spark, sf):
+    """The scores' means over all pairs."""
+    rows = A.predictions(spark, sf)
+    scores = T.rouge_scores(rows, "pair_id", lcs=False).join(T.bleu4(rows, "pair_id"), "pair_id")
+    columns = ("bleu_4", "rouge_1", "rouge_2")
+    return T.mean_scores(scores, columns).select(*[F.round(c, 3).alias(c) for c in columns], "rows")
+
+
 @query()
 def text_scores(spark, sf):
     """All scores, the common subsequence included."""
