@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from parlance.functions.hashing import draw, draw_int, draw_uniform
+from parlance.functions.hashing import draw, draw_int, draw_uniform, smallest_md5
 from parlance.functions.ranks import join_null_safe
 from parlance.functions.ranks import rank_by_int
 from parlance.functions.text import json_string, norm_text
@@ -420,25 +422,41 @@ def augment(df: DataFrame, rates: dict[str, float], seed=0, key: str = "example_
 
 # ---- slot variants ------------------------------------------------------------------------------------
 
+#: Atoms of a slot that meet its values in one task.
+VARIANT_ROWS = 16_384
+
+
 def slot_variants(atoms: DataFrame, values: DataFrame, part: str, n: int, seed=0, key: str = "id", text: str = "query",
                   value: str = "value") -> DataFrame:
-    """Up to n texts per atom with its slot value replaced by other values of a split.
+    """Up to n texts per atom with its slot value replaced by other values of a split, those of the smallest hash of atom and value.
 
     ``atoms``: (id, query, slot, value); the value must occur exactly once. ``values``: (slot, part, surface): a bounded
-    list per slot and split, folded into one array so that no atom is crossed with a table.
+    list per slot and split. Blocks of a slot's atoms meet its list once, so no list is carried by each atom.
     """
     once = (F.length(text) - F.length(F.replace(F.col(text), F.col(value), F.lit("")))) == F.length(value)
     usable = atoms.where(once & (F.length(value) > 0))
+    usable = usable.select("slot", *[c for c in usable.columns if c != "slot"])
+    columns = usable.columns
     lists = values.where(F.col("part") == part).groupBy("slot").agg(F.collect_set("surface").alias("_v"))
-    rows = usable.join(lists, "slot")
-    others = F.array_sort(F.transform(
-        F.filter("_v", lambda v: v != F.col(value)),
-        lambda v: F.struct(F.md5(F.concat_ws(":", F.lit(f"{seed}:{part}"), F.col(key), v).cast("binary")).alias("h"), v.alias("v")),
-    ))
-    rows = rows.withColumn("_pick", F.explode(F.slice(others, 1, n)))
-    at = F.position(F.col(value), F.col(text))
-    swapped = F.overlay(F.col(text), F.col("_pick.v"), at, F.length(value))
-    return rows.withColumn("new_text", swapped).withColumn("new_value", F.col("_pick.v")).withColumn("part", F.lit(part)).drop("_pick", "_v")
+    blocks = usable.groupBy("slot").agg(F.ceil(F.count(F.lit(1)) / VARIANT_ROWS).cast("int").alias("_n"))
+    heads = usable.withColumn("_head", F.concat_ws(":", F.lit(f"{seed}:{part}"), F.col(key), F.lit("")))
+    dealt = heads.join(blocks, "slot").withColumn(
+        "_b", F.pmod(F.xxhash64("_head"), F.col("_n").cast("long")).cast("int")
+    ).drop("_n")
+    copies = lists.join(blocks, "slot").withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select("slot", "_b", "_v")
+    at, head = columns.index(value), len(columns)
+
+    def pick(rows: pa.Table, listed: pa.Table) -> pa.Table:
+        tails = listed.column("_v")[0].as_py() if len(listed) else []
+        own = [v.encode() for v in rows.column(at).to_pylist()]
+        picks = smallest_md5([h.encode() for h in rows.column(head).to_pylist()], [t.encode() for t in tails], n, own)
+        taken = rows.take(pa.array([i for i, p in enumerate(picks) for _ in p], pa.int64())).select(columns)
+        return taken.append_column("new_value", pa.array([tails[j] for p in picks for j in p], pa.string()))
+
+    kinds = StructType([*dealt.select(*columns).schema.fields, StructField("new_value", StringType())])
+    rows = dealt.groupBy("slot", "_b").cogroup(copies.groupBy("slot", "_b")).applyInArrow(pick, kinds)
+    swapped = F.overlay(F.col(text), F.col("new_value"), F.position(F.col(value), F.col(text)), F.length(value))
+    return rows.withColumn("new_text", swapped).select(*columns, "new_text", "new_value").withColumn("part", F.lit(part))
 
 
 def surfaces_present(df: DataFrame, query: str = "query", slots: str = "slot_values") -> DataFrame:
