@@ -13,9 +13,9 @@ from parlance.streaming import streams
 
 
 def _stream(spark, sf: str, name: str):
-    """One table file as a file stream."""
-    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    """One table as a file stream: a file, or a folder of part files."""
+    path = f"{sf}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
 def _drain(spark, frame, mode: str):
@@ -27,6 +27,8 @@ def _drain(spark, frame, mode: str):
         folder = f"{target}/table" if mode == "complete" else f"{target}/table/batch={number}"
         batch.write.mode("overwrite").parquet(folder)
 
+    empty = spark.createDataFrame([], frame.schema)
+    empty.write.parquet(f"{target}/table" if mode == "complete" else f"{target}/table/batch=-1")  # a stream without rows has no batch
     run = frame.writeStream.outputMode(mode).option("checkpointLocation", f"{target}/state").foreachBatch(put)
     run.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{target}/table").drop("batch")
