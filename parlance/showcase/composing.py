@@ -97,7 +97,15 @@ def screened_translations(spark, sf):
     return Q.screen_translation(rows, names).select("event_id", "reason")
 
 
-QUOTES = """x AS (SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS m FROM conversations GROUP BY conv_id)"""
+# the walk of check_quotes: each quote is looked for from behind the start of the one before it
+QUOTES = """x AS (SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS m FROM conversations GROUP BY conv_id),
+  d AS (SELECT conv_id, lower(coalesce(array_to_string(list_transform(m, lambda t: t.content), ' '), '')) AS whole FROM x),
+  i AS (SELECT conv_id, len(m) AS n, unnest(m) AS t, generate_subscripts(m, 1) AS p FROM x),
+  q AS (SELECT conv_id, CASE WHEN conv_id % 2 = 1 THEN n + 1 - p ELSE p END AS k, substr(t.content, 1, 12) AS label, lower(trim(coalesce(substr(t.content, 1, 12), ''), ' ')) AS quote FROM i),
+  w AS (SELECT conv_id, 1::BIGINT AS k, 0::BIGINT AS place, NULL::VARCHAR AS reason FROM d UNION ALL
+    SELECT conv_id, k + 1, place + f, CASE WHEN quote = '' OR NOT contains(whole, quote) THEN 'quote not found' WHEN f = 0 THEN 'order' END
+    FROM (SELECT w.conv_id, w.k, place, quote, whole, strpos(substr(whole, place + 1), quote) AS f FROM w JOIN q ON q.conv_id = w.conv_id AND q.k = w.k JOIN d ON d.conv_id = w.conv_id WHERE reason IS NULL)),
+  r AS (SELECT conv_id, max(reason) AS reason FROM w GROUP BY 1)"""
 
 
 def _merged(spark, sf):
@@ -110,14 +118,13 @@ def _merged(spark, sf):
     return Q.check_quotes(rows)
 
 
-@query(f"WITH {QUOTES} SELECT conv_id, CASE WHEN conv_id % 2 = 1 AND len(m) > 1 THEN 'order' END AS reason FROM x")
+@query(f"WITH RECURSIVE {QUOTES} SELECT conv_id, reason FROM r")
 def quote_order(spark, sf):
     return _merged(spark, sf).select("conv_id", "reason")
 
 
-@query(f"""WITH {QUOTES}, i AS (SELECT conv_id, conv_id % 2 = 1 AND len(m) > 1 AS moved, lower(array_to_string(list_transform(m, lambda t: t.content), ' ')) AS whole, unnest(m) AS t, generate_subscripts(m, 1) AS k FROM x),
-  q AS (SELECT conv_id, substr(t.content, 1, 12) AS label, CASE WHEN moved THEN strpos(whole, lower(trim(substr(t.content, 1, 12)))) ELSE 0 END AS spot, CASE WHEN moved THEN -k ELSE k END AS k FROM i)
-  SELECT conv_id, string_agg(label, '|' ORDER BY spot, k) AS labels FROM q GROUP BY 1""")
+@query(f"""WITH RECURSIVE {QUOTES}, s AS (SELECT q.conv_id, label, CASE WHEN reason = 'order' THEN strpos(whole, quote) ELSE 0 END AS spot, k FROM q JOIN d USING (conv_id) JOIN r USING (conv_id))
+  SELECT conv_id, coalesce(string_agg(label, '|' ORDER BY spot, k), '') AS labels FROM s GROUP BY 1""")
 def reordered_labels(spark, sf):
     return Q.reorder_by_quote(_merged(spark, sf)).select("conv_id", F.array_join("labels", "|").alias("labels"))
 
