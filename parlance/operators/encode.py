@@ -1,4 +1,4 @@
-"""Token columns, length budgets and labels. Tokens never leave the JVM unless a tokenizer plug-in is given."""
+"""Token columns, length budgets and labels. Tokens leave the JVM for a tokenizer plug-in and for a vocabulary's ids only."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parlance.functions.text import let, words
+from parlance.functions.udfs import batch_udf
 from parlance.model import IGNORE_LABEL
 
 INTS = "array<int>"
@@ -39,6 +40,19 @@ def hash_ids(df: DataFrame, tokens: str = "tokens", out: str = "input_ids") -> D
     return df.withColumn(out, F.transform(tokens, hash_id))
 
 
+@batch_udf("array<int>")
+def _looked_up(tokens: pd.Series, known: pd.Series, ids: pd.Series, unknown: pd.Series) -> pd.Series:
+    """The id of every token by its row's own table: a map's look-up would walk the table for each token."""
+
+    def one(row, keys, values, other):
+        if row is None:
+            return None
+        table = dict(zip(keys, values)) if keys is not None else {}
+        return [table.get(t, other) for t in row]
+
+    return pd.Series([one(*row) for row in zip(tokens, known, ids, unknown)], dtype=object)
+
+
 def vocab_ids(df: DataFrame, vocabulary: DataFrame, key: str, tokens: str = "tokens", out: str = "input_ids",
               unknown: int = 0) -> DataFrame:
     """Ids from a vocabulary table (token, id) by an equi join on distinct tokens per row."""
@@ -46,9 +60,8 @@ def vocab_ids(df: DataFrame, vocabulary: DataFrame, key: str, tokens: str = "tok
     found = items.join(vocabulary.select("token", F.col("id").cast("int").alias("id")), "token")
     maps = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("_ids"))
     rows = df.join(maps, key, "left")
-    looked = F.transform(tokens, lambda t: F.coalesce(F.element_at("_ids", t), F.lit(unknown)))
-    none = F.transform(tokens, lambda t: F.lit(unknown))
-    return rows.withColumn(out, F.when(F.col("_ids").isNull(), none).otherwise(looked)).drop("_ids")
+    looked = _looked_up(F.col(tokens), F.map_keys("_ids"), F.map_values("_ids"), F.lit(unknown))
+    return rows.withColumn(out, looked).drop("_ids")
 
 
 def seq_budget(source: Column, target: Column, cutoff: Column) -> Column:
