@@ -57,8 +57,7 @@ def text_rouge(spark, sf):
   FROM ({BLEU_SQL}) JOIN ({ROUGE_SQL}) USING (pair_id)""")
 def text_means(spark, sf):
     """The scores' means over all pairs."""
-    rows = A.predictions(spark, sf)
-    scores = T.rouge_scores(rows, "pair_id", lcs=False).join(T.bleu4(rows, "pair_id"), "pair_id")
+    scores = T.rouge_scores(A.predictions(spark, sf), "pair_id", lcs=False, bleu=True)
     columns = ("bleu_4", "rouge_1", "rouge_2")
     return T.mean_scores(scores, columns).select(*[F.round(c, 3).alias(c) for c in columns], "rows")
 
