@@ -44,11 +44,14 @@ def case_pool(atoms: DataFrame, seed=0) -> CasePool:
     return CasePool(pool, cells.join(counts, "part").select("part", "cell", "cell_no", "size", "cells").checkpoint())
 
 
-def _candidates(pool: CasePool, level: int, first: int, last: int, seed, neg_rate: float, rel_rate: float, picks: int) -> DataFrame:
-    """(case_no, ids, topics, flips) of the tries from ``first`` to ``last`` that can be filled, one for each combination."""
-    grid = pool.atoms.sparkSession.range(first, last).select(F.col("id").alias("case_no"), F.explode(
-        F.sequence(F.lit(0), F.lit(level * picks - 1))
-    ).alias("pick"))
+#: Picks of each slot that are drawn for every try; the others are drawn for the tries these leave unfilled.
+FEW_PICKS = 3
+
+
+def _filled(pool: CasePool, tries: DataFrame, level: int, seed, neg_rate: float, rel_rate: float, picks: int, few: int) -> DataFrame:
+    """(case_no, _s) of the tries filled by the first ``few`` picks of each slot: later picks of a filled slot change nothing."""
+    drawn_picks = F.array(*[F.lit(slot * picks + k) for slot in range(level) for k in range(few)])
+    grid = tries.select("case_no", F.explode(drawn_picks).alias("pick"))
     u = draw_uniform(f"{seed}:part", F.col("case_no"), F.col("pick"))
     part = F.when(u < rel_rate, "relation").when(u < rel_rate + neg_rate, "negative").otherwise("positive")
     grid = grid.withColumn("part", part).join(pool.cells.groupBy("part").agg(F.max("cells").alias("cells")), "part")
@@ -73,7 +76,17 @@ def _candidates(pool: CasePool, level: int, first: int, last: int, seed, neg_rat
             flips.alias("flips"), F.array_append(s["slots"], slot).alias("slots"),
         )).otherwise(s)
 
-    cases = lists.select("case_no", F.aggregate("_p", start, step).alias("_s")).where(F.size("_s.ids") == level)
+    return lists.select("case_no", F.aggregate("_p", start, step).alias("_s")).where(F.size("_s.ids") == level)
+
+
+def _candidates(pool: CasePool, level: int, first: int, last: int, seed, neg_rate: float, rel_rate: float, picks: int) -> DataFrame:
+    """(case_no, ids, topics, flips) of the tries from ``first`` to ``last`` that can be filled, one for each combination."""
+    tries = pool.atoms.sparkSession.range(first, last).select(F.col("id").alias("case_no"))
+    rule = (level, seed, neg_rate, rel_rate, picks)
+    cases = _filled(pool, tries, *rule, min(FEW_PICKS, picks))
+    if picks > FEW_PICKS:
+        cases = cases.checkpoint()
+        cases = cases.unionByName(_filled(pool, tries.join(cases.select("case_no"), "case_no", "left_anti"), *rule, picks))
     best = cases.groupBy(F.col("_s.ids").alias("ids")).agg(
         F.min(F.struct("case_no", F.col("_s.topics").alias("topics"), F.col("_s.flips").alias("flips"))).alias("_f")
     )
