@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parlance.functions.ranks import floor_rank, join_null_safe, pick_ranks, rank_by_int
-from parlance.functions.text import let, norm_text, opener, shape, windows
+from parlance.functions.text import let, norm_text, opener, shape
 from parlance.model import IGNORE_LABEL
+from parlance.operators.nearest import text_slices
+
+#: Counted grams that a task holds until it joins their counts.
+HELD_GRAMS = 500_000
 
 
 def length_cdf(df: DataFrame, length: Column, interval: int) -> DataFrame:
@@ -40,7 +47,10 @@ def length_summary(df: DataFrame, length: str, key: str, cutoff: int, step: int
 
 def top_k(df: DataFrame, by: Sequence[str], value: str, k: int, out: str = "rows") -> DataFrame:
     """The k most frequent values per group (ties by value); the rank filter is applied before the shuffle too."""
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(out))
+    return most_frequent(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(out)), by, value, k, out)
+
+
+def most_frequent(counts: DataFrame, by: Sequence[str], value: str, k: int, out: str) -> DataFrame:
     order = W.partitionBy(*[F.col(b) for b in by] or [F.lit(0)]).orderBy(F.desc(out), value)
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -69,9 +79,71 @@ def top_openers(df: DataFrame, group: str, text: str, k: int = 6) -> DataFrame:
 
 
 def top_grams(df: DataFrame, group: str, text: str, n: int = 4, k: int = 8) -> DataFrame:
-    """Most frequent shape grams per pool, counted once per row."""
-    grams = F.array_distinct(windows(shape(F.col(text)), n))
-    return top_k(df.select(group, F.explode(grams).alias("gram")), [group], "gram", k)
+    """Most frequent shape grams per pool, counted once per row. Counts of a task's texts are joined before they move."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in text_slices(batches):
+            held.append(pa.Table.from_arrays(rows_with_gram(batch.column(0), batch.column(1), n), ["group", "gram", "rows"]))
+            if sum(t.num_rows for t in held) >= HELD_GRAMS:
+                held = [_summed(held)]
+                if held[0].num_rows >= HELD_GRAMS // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from _summed(held).to_batches()
+
+    shapes = df.select(F.col(group).alias("group"), F.coalesce(shape(F.col(text)), F.lit("")).alias("text"))
+    told = shapes.mapInArrow(run, f"group {dict(df.dtypes)[group]}, gram string, rows long")
+    counts = told.groupBy(F.col("group").alias(group), "gram").agg(F.sum("rows").alias("rows"))
+    return most_frequent(counts, [group], "gram", k, "rows")
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    whole = pa.concat_tables(tables).combine_chunks()
+    return whole.group_by(["group", "gram"]).aggregate([("rows", "sum")]).rename_columns(["group", "gram", "rows"])
+
+
+def rows_with_gram(groups: pa.Array, texts: pa.Array, n: int) -> list[pa.Array]:
+    """(group, gram, rows): in how many of a group's texts each of their windows of n characters stands."""
+    points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), dtype="<u4")
+    lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    inside, ends = np.ones(len(points) + 1, dtype=bool), np.cumsum(lengths)
+    for i in range(1, n):
+        inside[np.maximum(ends - i, ends - lengths)] = False
+    inside[len(points)] = False
+    # an empty text's end is the next one's start
+    filled = lengths >= n
+    inside[(ends - lengths)[filled]] = True
+    at = np.flatnonzero(inside)
+    row = np.repeat(np.arange(len(lengths)), np.maximum(lengths - n + 1, 0))
+    met = np.zeros(0x110000, dtype=bool)
+    met[points] = True
+    letters = np.flatnonzero(met)
+    number = np.zeros(0x110000, dtype=np.int64)
+    number[letters] = np.arange(len(letters))
+    numbers, bits = number[points], max(1, (len(letters) - 1).bit_length())
+
+    def spelled(codes: np.ndarray, start: np.ndarray, more: int) -> np.ndarray:
+        last = [letters[codes >> bits * i & (1 << bits) - 1] for i in reversed(range(more))]
+        return np.column_stack([start[codes >> bits * more], *last])
+
+    # a gram's letters follow each other in one number; where that grows too large, the grams so far are numbered anew
+    room = 63 - max(1, len(lengths).bit_length())
+    codes, start, more, size = np.zeros(len(at), dtype=np.int64), np.zeros((1, 0), dtype=np.int64), 0, 0
+    for i in range(n):
+        if size + bits > room:
+            seen, codes = np.unique(codes, return_inverse=True)
+            start, more, size = spelled(seen, start, more), 0, len(seen).bit_length()
+        codes = codes << bits | numbers[at + i]
+        more, size = more + 1, size + bits
+    once = np.sort(row << size | codes)
+    once = once[np.append(True, once[1:] != once[:-1])[:len(once)]]
+    pool = groups.dictionary_encode(null_encoding="encode")
+    own = pool.indices.to_numpy().astype(np.int64)[once >> size]
+    found, rows = np.unique(own << size | once & (1 << size) - 1, return_counts=True)
+    text = spelled(found & (1 << size) - 1, start, more).astype("<u4").tobytes().decode("utf-32-le")
+    grams = [text[i:i + n] for i in range(0, len(text), n)]
+    return [pool.dictionary.take(pa.array(found >> size)), pa.array(grams, pa.string()), pa.array(rows)]
 
 
 def label_counts(df: DataFrame, group: str, label: str) -> DataFrame:
