@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
-def batch_udf(return_type: str):
-    """Like ``pandas_udf``, but needs no running session at import.
+def batch_udf(return_type: str, kind: str = "pandas_udf"):
+    """Like ``pandas_udf``, or another kind of batches, but needs no running session at import.
 
     Marked nondeterministic so that the optimizer computes it once per row and never copies the call
     into the lambda functions that read its result.
@@ -14,9 +14,14 @@ def batch_udf(return_type: str):
 
     def wrap(function):
         def call(*columns):
-            return F.pandas_udf(function, return_type).asNondeterministic()(*columns)
+            return getattr(F, kind)(function, return_type).asNondeterministic()(*columns)
 
         call.__doc__ = function.__doc__
         return call
 
     return wrap
+
+
+def arrow_udf(return_type: str):
+    """The same on Arrow arrays."""
+    return batch_udf(return_type, "arrow_udf")
