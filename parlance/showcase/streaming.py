@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from parlance import adapters as A
 from parlance.session import ensure_checkpoint_dir
 from parlance.showcase import draw_of, query
+from parlance.sources.files import read_stream
 from parlance.streaming import streams
 
 
 def _stream(spark, sf: str, name: str):
     """One table as a file stream: a file, or a folder of part files."""
     path = f"{sf}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return read_stream(spark, path, spark.read.parquet(path).schema, "parquet")
 
 
 def _drain(spark, frame, mode: str):

@@ -88,6 +88,13 @@ def read_json_store(spark: SparkSession, path: str, schema: StructType | str | N
 
 def read_stream(spark: SparkSession, path: str, schema: StructType | str, kind: str = "json",
                 files_per_trigger: int | None = None) -> DataFrame:
+    """A stream over a folder, a pattern or one file.
+
+    A file is read as a pattern that only it fits: Spark takes the path of a stream for the base of its partitions, and a file is none.
+    """
+    where, fs = _hadoop(spark, path)
+    if fs.exists(where) and fs.getFileStatus(where).isFile():
+        path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -37,7 +37,8 @@ def monitor(logs: DataFrame, run: str = "run", step: str = "current_steps", tota
     fields = [c for c in logs.columns if c != run]
     last = logs.groupBy(run).agg(F.max_by(F.struct(*fields), F.col(step)).alias("_s"))
     out = last.select(run, *[F.col(f"_s.{c}").alias(c) for c in fields])
-    percent = F.when(F.col(total) != 0, F.round(F.col(step) / F.col(total) * 100, 2)).otherwise(F.lit(100.0))
+    # hundredths are rounded as a number of their own, as SQL does: Spark's round to two places goes by the decimal digits
+    percent = F.when(F.col(total) != 0, F.round(F.col(step) / F.col(total) * 100 * 100) / 100).otherwise(F.lit(100.0))
     out = out.withColumn("percentage", percent)
     if {"elapsed_time", "remaining_time"} <= set(fields):
         out = out.withColumn("label", F.concat(
